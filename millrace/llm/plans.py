@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.leaks import leaked_items
 from millrace.llm.mixing import mix_entries
+from millrace.llm.packing import pack_documents, token_count
 from millrace.llm.ranking import Score, borda_ranking
+from millrace.llm.repetition import depleted_documents, repeated_share
 from millrace.llm.skeleton import lookalike_pairs, with_skeleton
 from millrace.llm.splitting import speakers_together, split_entries
 from millrace.plans.tables import table
+from millrace.session import stage
 
 SCORES = [Score("cer_gts", False), Score("wer_gts", False), Score("pred_context_similarity", True)]
 
@@ -85,8 +89,53 @@ def p4_one_form(spark: SparkSession, folder: str) -> DataFrame:
     return with_skeleton(_texts(spark, folder), "text").select("field_name", "id", "pos", "skeleton")
 
 
+def p7_packs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document, by tokens, in packs of each capacity of pack_sizes."""
+    docs = table(spark, folder, "documents").select("doc_id", token_count("text").alias("tokens"))
+    sizes = stage(docs, "tokens")
+    packs = None
+    for r in table(spark, folder, "pack_sizes").select("pack_name", "capacity_tokens").orderBy("pack_name").collect():  # a fixed table of 3 rows
+        part = pack_documents(sizes, "doc_id", "tokens", r[1], r[0])
+        packs = part if packs is None else packs.unionByName(part)
+    return packs
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How well the packs of each capacity are filled."""
+    packs = p7_packs(spark, folder).groupBy("pack_name", "pack").agg(F.sum("size").alias("used"), F.count(F.lit(1)).alias("pieces"))
+    sizes = table(spark, folder, "pack_sizes").select("pack_name", "capacity_tokens")
+    out = packs.groupBy("pack_name").agg(F.count(F.lit(1)).alias("packs"), F.sum("pieces").alias("pieces"), F.sum("used").alias("tokens"))
+    return out.join(F.broadcast(sizes), "pack_name").select("pack_name", "packs", "pieces", "tokens", (F.col("tokens") / (F.col("packs") * F.col("capacity_tokens"))).alias("filled"))
+
+
+def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the evaluation items they hold, also with other numbers, names and units."""
+    return leaked_items(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold at least half of an item's very words in one stretch."""
+    return p8_leaks(spark, folder).where("2 * equal_words >= item_words").select("doc_id", "item_id")
+
+
+def p9_share(spark: SparkSession, folder: str) -> DataFrame:
+    """The share of repeated content of every document."""
+    return repeated_share(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents a quarter or more of which repeats what they have said before."""
+    return p9_share(spark, folder).where("repeated_share >= 0.25").select("doc_id")
+
+
+def p9_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the lines that recur over its source's documents."""
+    return depleted_documents(table(spark, folder, "documents"), "doc_id", "text", "source")
+
+
 QUERIES = {
     "p1_ranking": p1_ranking, "p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p3_mix": p3_mix, "p3_shares": p3_shares,
-    "p4_found": p4_found, "p4_one_form": p4_one_form,
+    "p4_found": p4_found, "p4_one_form": p4_one_form, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
+    "p9_found": p9_found, "p9_share": p9_share, "p9_recurring_lines": p9_recurring_lines,
 }
 SQL = {"p1_ranking": P1_SQL}
