@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.answers import defective_answers
 from millrace.llm.leaks import leaked_items
 from millrace.llm.mixing import mix_entries
 from millrace.llm.packing import pack_documents, token_count
@@ -89,6 +90,16 @@ def p4_one_form(spark: SparkSession, folder: str) -> DataFrame:
     return with_skeleton(_texts(spark, folder), "text").select("field_name", "id", "pos", "skeleton")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers with a defect, by conversation and turn."""
+    return defective_answers(table(spark, folder, "messages"), "conv_id", "turn", "role", "content", "lang", ["ingested_at", "message_id"])
+
+
+def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Defective answers by kind."""
+    return p5_found(spark, folder).groupBy("defect").agg(F.count(F.lit(1)).alias("answers"))
+
+
 def p7_packs(spark: SparkSession, folder: str) -> DataFrame:
     """Every document, by tokens, in packs of each capacity of pack_sizes."""
     docs = table(spark, folder, "documents").select("doc_id", token_count("text").alias("tokens"))
@@ -135,7 +146,7 @@ def p9_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p1_ranking": p1_ranking, "p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p3_mix": p3_mix, "p3_shares": p3_shares,
-    "p4_found": p4_found, "p4_one_form": p4_one_form, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
+    "p4_found": p4_found, "p4_one_form": p4_one_form, "p5_found": p5_found, "p5_counts": p5_counts, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
     "p9_found": p9_found, "p9_share": p9_share, "p9_recurring_lines": p9_recurring_lines,
 }
 SQL = {"p1_ranking": P1_SQL}
