@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.wordstream import Words, word_stream
+from millrace.llm.wordstream import Words, chunks, word_stream
 
 WINDOW = 3
 LEAST_WORDS = 8
@@ -213,7 +213,7 @@ def find_in_batch(texts: list[str], items: Items, slack: float = 1.3) -> list[tu
 def _scan(ids: list, texts: list[str], share: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = index_items(ids, texts)
-        for pdf in batches:
+        for pdf in chunks(batches, "_text"):
             found = find_in_batch(pdf["_text"].fillna("").tolist(), items)
             found = [x for x in found if max(x[3], x[4]) >= math.ceil(share * x[2])]
             rows = pdf["_id"].to_numpy()[[x[0] for x in found]] if found else []

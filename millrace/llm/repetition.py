@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.wordstream import word_stream
+from millrace.llm.wordstream import chunks, word_stream
 
 SHINGLE = 5
 
@@ -42,7 +42,7 @@ def repeated_positions(doc: np.ndarray, code: np.ndarray, size: int = SHINGLE) -
 
 def _shares(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in chunks(batches, "_text"):
             n = len(pdf)
             w = word_stream(pdf["_text"].fillna("").tolist(), headings=False, numbers=False)
             words = np.bincount(w.doc, minlength=n)[:n]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,8 +20,8 @@ _WORD = re.compile("\x00|[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]|[^\\W_\u3040-
 
 
 class Words(NamedTuple):
-    """All words of a batch in order. doc: the text each word is in; code: equal for equal words; wide: one character of
-    Chinese or Japanese; words: the distinct words by code."""
+    """All words of a batch in order. doc: the text each word is in; code: equal for equal words; words: the distinct
+    words by code. A character of Chinese or Japanese is a word."""
 
     doc: np.ndarray
     code: np.ndarray
@@ -44,6 +44,17 @@ def skeleton_lines(text: str) -> str:
 _ODD = re.compile("[^\x00-\x7f\u00a1-\u00ac\u00ae-\u024f\u2010-\u2027\u3001-\u30ff\u3400-\u9fff\uff01-\uff0f\uff1a-\uff20]")
 
 
+def chunks(batches: Iterator[pd.DataFrame], text: str, size: int = 2_000_000) -> Iterator[pd.DataFrame]:
+    """The rows of the batches in chunks of about size characters; a longer text is a chunk of its own."""
+    for pdf in batches:
+        upto = pdf[text].str.len().fillna(0).cumsum().to_numpy()
+        at = 0
+        while at < len(pdf):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, side="right")))
+            yield pdf.iloc[at:end]
+            at = end
+
+
 def word_stream(texts: list[str], headings: bool = True, numbers: bool = True, form: Callable[[str], str] = one_form) -> Words:
     """The words of texts (none null). Line openings are left out; headings and words of digits only if so told."""
     whole = END.join(form(t.replace(END, " ")) for t in texts)
