@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.ordered import running_sum
 from millrace.session import stage
 
 TOKENIZERS = "/opt/tokenizers"
@@ -111,7 +112,7 @@ def _places(patterns: list[tuple[tuple[tuple[int, int], ...], int]]) -> dict[int
     return {k: tuple(np.array(x, np.int64) for x in zip(*v, strict=True)) for k, v in out.items()}
 
 
-def pack_documents(sizes: DataFrame, ident: str, size: str, capacity: int, name: str, cells: int = 1024) -> DataFrame:
+def pack_documents(sizes: DataFrame, ident: str, size: str, capacity: int, name: str, cell_rows: int = 100_000) -> DataFrame:
     """Packs of a capacity: columns pack_name, pack, slot, ident, piece, size (of the piece).
 
     sizes has one row per document with its length (see token_count). A document is one piece, piece 0, unless it is
@@ -120,18 +121,20 @@ def pack_documents(sizes: DataFrame, ident: str, size: str, capacity: int, name:
     their own. An empty table gives no packs.
 
     The lengths' histogram (capacity rows at most) is packed shortest-pack-first on the driver; the resulting patterns
-    meet the documents by their rank within their length. Ranks are counted per length and hash cell, so that a length
-    that most documents share is ranked in as many tasks as there are cells.
+    meet the documents by their rank within their length. A length is ranked in hash cells of about cell_rows documents,
+    so that one that most documents share is spread over tasks.
     """
     if not 0 < capacity <= MAX_CAPACITY:
         raise ValueError(f"the capacity must be from 1 to {MAX_CAPACITY}")
     kind = sizes.schema[ident].dataType.simpleString()
     rows = sizes.select(F.col(ident).alias("_id"), F.col(size).cast("bigint").alias("_n")).where("_id is not null and _n >= 1")
     whole = F.floor((F.col("_n") - 1) / capacity).cast("bigint")  # pieces before the last one
-    rows = rows.select("_id", whole.alias("_full"), (F.col("_n") - whole * capacity).cast("int").alias("_len"), F.pmod(F.xxhash64("_id"), F.lit(cells)).cast("int").alias("_cell"))
-    counts = rows.groupBy("_len", "_cell").agg(F.count(F.lit(1)).alias("_c"), F.sum("_full").alias("_f"))
-    counts = stage(counts, "histogram")
-    histogram = {r[0]: r[1] for r in counts.groupBy("_len").agg(F.sum("_c")).collect()}  # capacity rows at most
+    rows = rows.select("_id", whole.alias("_full"), (F.col("_n") - whole * capacity).cast("int").alias("_len"))
+    sums = rows.groupBy("_len").agg(F.count(F.lit(1)).alias("_c")).collect()  # capacity rows at most
+    histogram = {r[0]: r[1] for r in sums}
+    cells = sizes.sparkSession.createDataFrame([(r[0], -(-r[1] // cell_rows)) for r in sums], "_len int, _cells int")
+    rows = rows.join(F.broadcast(cells), "_len").withColumn("_cell", F.pmod(F.xxhash64("_id", "_full"), F.col("_cells")).cast("int")).drop("_cells")
+    counts = stage(rows.groupBy("_len", "_cell").agg(F.count(F.lit(1)).alias("_c")), "histogram")
     patterns = shortest_pack_first(histogram, capacity)
     places, packs = _places(patterns), sum(n for _, n in patterns)
     starts = F.sum("_c").over(_before("_len", "_cell"))
@@ -152,26 +155,18 @@ def pack_documents(sizes: DataFrame, ident: str, size: str, capacity: int, name:
 
     columns = f"pack long, slot int, _id {kind}, piece int, size int"
     last = ranked.select("_len", "_rank", "_id", "_full").mapInPandas(place, columns)
-    # Full pieces are numbered after the packs: by cell, and within a cell by document.
-    long = rows.where("_full > 0")
-    fulls = long.groupBy("_cell").agg(F.sum("_full").alias("_f"))
-    offsets = fulls.select("_cell", F.coalesce(F.sum("_f").over(_before(None, "_cell")), F.lit(0)).alias("_start"))
-    own = F.sum("_full").over(_cell_running())
-    full = long.withColumn("_upto", own).join(F.broadcast(offsets), "_cell").select("_id", "_full", (F.lit(packs) + F.col("_start") + F.col("_upto") - F.col("_full")).alias("_pack"))
+    # Full pieces are numbered after the packs, by range partitions of the documents that have any.
+    long = running_sum(rows.where("_full > 0").select("_id", "_full", "_len"), [], ["_id", "_full", "_len"], "_full", "_upto")
+    full = long.select("_id", "_full", (F.lit(packs) + F.col("_upto") - F.col("_full")).alias("_pack"))
     full = full.select("_id", "_pack", F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.col("_full") - 1)).alias("_k", "piece"))
     full = full.select((F.col("_pack") + F.col("piece")).alias("pack"), F.lit(0).alias("slot"), "_id", F.col("piece").cast("int").alias("piece"), F.lit(capacity).cast("int").alias("size"))
     out = last.unionByName(full)
     return out.select(F.lit(name).alias("pack_name"), "pack", "slot", F.col("_id").alias(ident), "piece", "size")
 
 
-def _before(key: str | None, order: str):
-    spec = Window.partitionBy(key) if key else Window.partitionBy()  # over the cells: a bounded table
-    return spec.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _before(key: str, order: str):
+    return Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _in_cell():
     return Window.partitionBy("_len", "_cell").orderBy("_id", "_full")
-
-
-def _cell_running():
-    return Window.partitionBy("_cell").orderBy("_id", "_full", "_len").rowsBetween(Window.unboundedPreceding, 0)
