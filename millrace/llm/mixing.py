@@ -82,7 +82,7 @@ def mix_entries(df: DataFrame, targets: DataFrame, ident: str, source: str, size
     got = picked.groupBy("source").agg(F.sum(F.when(F.col("copies") > 0, 1).otherwise(0)).alias("used_entries"), F.sum(F.col("_size") * F.col("copies")).alias("reached"))
     report = spark.createDataFrame(plan[["source", "target_share", "scaled_share", "max_repeats", "n", "available", "quota"]].astype({"n": "int64"}), "source string, target_share double, scaled_share double, max_repeats int, entries long, available double, quota double")
     report = report.join(F.broadcast(got), "source", "left").na.fill({"used_entries": 0, "reached": 0.0})
-    report = report.withColumn("actual_share", F.col("reached") / F.sum("reached").over(Window.partitionBy()))  # one row a source
+    report = report.withColumn("actual_share", F.try_divide("reached", F.sum("reached").over(Window.partitionBy())))  # one row a source
     return entries, report
 
 

@@ -15,14 +15,13 @@ from millrace.session import stage
 LOOKALIKES = {
     "A": "ΑАᎪ", "B": "ΒВᏴ", "C": "СϹᏟ", "D": "Ꭰ", "E": "ΕЕᎬ", "F": "Ϝ", "G": "ԌᏀ", "H": "ΗНᎻ", "I": "ΙІӀ", "J": "ЈᎫͿ", "K": "ΚКᏦ",
     "L": "Ꮮ", "M": "ΜМᎷϺ", "N": "Ν", "O": "ΟОՕ", "P": "ΡРᏢ", "Q": "Ԛ", "S": "ЅՏᏚ", "T": "ΤТᎢ", "U": "Ս", "V": "ѴᏙ", "W": "ԜᎳ",
-    "X": "ΧХ", "Y": "ΥҮᎩ", "Z": "ΖᏃ", "a": "αаɑ", "c": "сϲᴄ", "d": "ԁ", "e": "еҽ", "g": "ɡց", "h": "һհ", "i": "ιіɩ", "j": "јϳ",
+    "X": "ΧХ", "Y": "ΥҮᎩУ", "Z": "ΖᏃ", "a": "αаɑ", "c": "сϲᴄ", "d": "ԁ", "e": "еҽ", "g": "ɡց", "h": "һհ", "i": "ιіɩ", "j": "јϳ",
     "k": "κ", "l": "ӏ", "n": "ո", "o": "οоօᴏ", "p": "ρр", "q": "ԛզ", "s": "ѕꜱ", "u": "υսᴜ", "v": "νѵᴠ", "w": "ԝաᴡ", "x": "хᕁ",
-    "y": "уүγʏ", "z": "ᴢ", "Г": "Γ", "П": "Π", "Ф": "Φ", "ß": "β", "-": "‐‑﹣", "æ": "ӕ", "Æ": "Ӕ", "ə": "ә", "У": "Ꭹ",
+    "y": "уүγʏ", "z": "ᴢ", "Г": "Γ", "П": "Π", "Ф": "Φ", "ß": "β", "-": "‐‑﹣", "æ": "ӕ", "Æ": "Ӕ", "ə": "ә",
 }
 # Signs of no width that are not of category Cf.
 INVISIBLE = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
-# Cyrillic U and Latin Y are told apart in capitals by few fonts; the pair shares a prototype.
-PROTOTYPES = {x: k for k, v in LOOKALIKES.items() for x in v} | {"У": "Y"}
+PROTOTYPES = {x: k for k, v in LOOKALIKES.items() for x in v}
 
 
 class _Prototypes(dict):
@@ -35,7 +34,7 @@ class _Prototypes(dict):
         elif unicodedata.category(ch) in ("Zs", "Zl", "Zp") or ch in "\t\n\r\x0b\x0c\x85":
             out = " "
         else:
-            tag = unicodedata.decomposition(ch).partition(" ")[0]
+            tag = "" if ch in PROTOTYPES else unicodedata.decomposition(ch).partition(" ")[0]
             plain = unicodedata.normalize("NFKD", ch) if tag in ("<wide>", "<narrow>", "<compat>") else unicodedata.normalize("NFD", ch)
             plain = ch if plain.startswith(" ") else plain
             out = "".join(PROTOTYPES.get(c, c) for c in plain)
