@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import problems
+from millrace.plans import problems, relational, texts
 
-MODULES = [problems]
+MODULES = [problems, texts, relational]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,4 +26,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return problems.p6_found(spark, folder)
+    return relational.q_reason_filter_stats(spark, folder)
