@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import problems, relational, texts
+from millrace.plans import metrics, problems, relational, texts
 
-MODULES = [problems, texts, relational]
+MODULES = [problems, texts, relational, metrics]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
