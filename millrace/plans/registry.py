@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import metrics, problems, relational, texts
+from millrace.plans import metrics, problems, relational, sequences, texts
 
-MODULES = [problems, texts, relational, metrics]
+MODULES = [problems, texts, relational, metrics, sequences]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
