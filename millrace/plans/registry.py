@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import metrics, problems, prompting, relational, sequences, texts
+from millrace.plans import metrics, problems, prompting, relational, sequences, sources, streams, texts
 
-MODULES = [problems, texts, relational, metrics, sequences, prompting]
+MODULES = [problems, texts, relational, metrics, sequences, prompting, sources, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
