@@ -30,7 +30,7 @@ def query(sql: str | None = None):
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     static = table(spark, folder, name)
-    rows = spark.readStream.schema(static.schema).parquet(f"{folder}/{name}.parquet")
+    rows = spark.readStream.schema(static.schema).parquet(f"{folder}/{name}.parque[t]")  # as a pattern, so that a table may be a file or a folder
     return rows.withColumns({c: F.col(c).cast("timestamp") for c, kind in rows.dtypes if kind == "timestamp_ntz"})
 
 
