@@ -141,12 +141,13 @@ def weighted_draws(df: DataFrame, key: str, weight: str, draws: int, seed: int)
     spark = df.sparkSession
     if not total:
         return df.select(F.lit(0).cast("bigint").alias("draw"), key).where("false")
-    upto = stage(running_sum(df.where(F.col(weight) > 0).select(key, weight), [], [key], weight, "_hi"), "weights")
+    rows = df.where(F.col(weight) > 0).select(F.col(key).alias("_k"), F.col(weight).alias("_w"))
+    upto = stage(running_sum(rows, [], ["_k"], "_w", "_hi"), "weights")
     block = max(float(total) / 1024, 1e-12)
-    rows = upto.withColumn("_lo", F.col("_hi") - F.col(weight)).withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / block).cast("bigint"), F.floor(F.col("_hi") / block).cast("bigint"))))
+    rows = upto.withColumn("_lo", F.col("_hi") - F.col("_w")).withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / block).cast("bigint"), F.floor(F.col("_hi") / block).cast("bigint"))))
     u = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))), 1, 12), 16, 10).cast("double") / float(1 << 48) * float(total)
     drawn = spark.range(draws).select(F.col("id").alias("draw"), u.alias("_u")).withColumn("_b", F.floor(F.col("_u") / block).cast("bigint"))
-    return drawn.join(rows, "_b").where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi"))).select("draw", key)
+    return drawn.join(rows, "_b").where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi"))).select("draw", F.col("_k").alias(key))
 
 
 def data_parallel(df: DataFrame, order: Sequence[Column | str], ranks: int, micro_batch: int, consumed: int = 0, drop_last: bool = True) -> DataFrame:

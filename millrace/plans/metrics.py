@@ -24,21 +24,30 @@ def query(sql: str | None = None):
 
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Generated texts with the text of their context entry, ASCII ones."""
-    g = table(spark, folder, "generation_records").select("record_id", "model_tag", F.col("text").alias("hyp"), F.col("context_entry_id").alias("entry_id"))
-    m = table(spark, folder, "manifest_entries").select("entry_id", F.col("text").alias("ref"), "lang", "source")
-    return g.join(m, "entry_id").where(F.col("hyp").rlike(r"^[\x20-\x7e]*$") & F.col("ref").rlike(r"^[\x20-\x7e]*$"))
+    """Generated texts with the text of their context entry."""
+    g = table(spark, folder, "generation_records").select("record_id", "model_tag", F.coalesce("text", F.lit("")).alias("hyp"), F.col("context_entry_id").alias("entry_id"))
+    m = table(spark, folder, "manifest_entries").select("entry_id", F.coalesce("text", F.lit("")).alias("ref"), "lang", "source")
+    return g.join(m, "entry_id")
 
 
-PAIRS = r"""with p as (select record_id, model_tag, g.text as hyp, m.text as ref, lang, source from generation_records g join manifest_entries m on m.entry_id = g.context_entry_id
-  where regexp_full_match(g.text, '[\x20-\x7e]*') and regexp_full_match(m.text, '[\x20-\x7e]*'))"""
+PAIRS = """with p as (select record_id, model_tag, coalesce(g.text, '') as hyp, coalesce(m.text, '') as ref, lang, source from generation_records g join manifest_entries m on m.entry_id = g.context_entry_id)"""
 _MAP = "array_to_string(list_transform({0}, lambda w: chr(cast(33 + list_position(v, w) as int))), '')"
 WORD_PAIRS = f"""{PAIRS},
 w as (select *, {_words('hyp')} as h, {_words('ref')} as r from p), v as (select *, list_distinct(list_concat(h, r)) as v from w),
 e as (select *, levenshtein({_MAP.format('h')}, {_MAP.format('r')}) as e, len(r) as n from v)"""
 
 
-@query(f"{PAIRS} select record_id, levenshtein(hyp, ref) as errors, length(ref) as size from p")
+_CHARS = "list_filter(string_split({0}, ''), lambda c: c <> '')"
+
+
+def _char_edits(a: str, b: str) -> str:
+    """Edits in characters, each distinct one of a pair as one byte."""
+    v = f"list_distinct(list_concat({_CHARS.format(a)}, {_CHARS.format(b)}))"
+    one = lambda x: f"array_to_string(list_transform({_CHARS.format(x)}, lambda w: chr(cast(33 + list_position({v}, w) as int))), '')"
+    return f"levenshtein({one(a)}, {one(b)})"
+
+
+@query(f"{PAIRS} select record_id, {_char_edits('hyp', 'ref')} as errors, length(ref) as size from p")
 def q_cer_pairs(spark, folder):
     """Character errors of each pair."""
     e, n = A.errors_and_size("hyp", "ref", chars=True)
@@ -67,7 +76,7 @@ def q_slot_groups(spark, folder):
     return x.withColumn("rate", F.round(F.col("errors") / F.col("size"), 9))
 
 
-@query(f"{PAIRS} select record_id, round_even(levenshtein(hyp[1:10], ref[1:10]) / 10 * 100, 2) as start_cer, round_even(levenshtein(right(hyp, 10), right(ref, 10)) / 10 * 100, 2) as end_cer from p where length(hyp) >= 10 and length(ref) >= 10")
+@query(f"{PAIRS} select record_id, round_even({_char_edits('hyp[1:10]', 'ref[1:10]')} / 10 * 100, 2) as start_cer, round_even({_char_edits('right(hyp, 10)', 'right(ref, 10)')} / 10 * 100, 2) as end_cer from p where length(hyp) >= 10 and length(ref) >= 10")
 def q_edge_cer(spark, folder):
     """Character errors at both ends, in percent."""
     p = _pairs(spark, folder).where((F.length("hyp") >= 10) & (F.length("ref") >= 10))

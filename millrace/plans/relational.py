@@ -413,13 +413,13 @@ def q_intersect(spark, folder):
 
 
 @query("""
-with n as (select o_orderkey, 'X' as o_orderstatus, o_totalprice from orders where o_orderkey % 5 = 0)
-select o_orderkey, o_orderstatus, o_totalprice from orders where o_orderkey % 5 <> 0 union all select * from n
+with n as (select o_orderkey, 'X' as o_orderstatus, o_totalprice from orders where o_totalprice > 200000)
+select o_orderkey, o_orderstatus, o_totalprice from orders where not o_totalprice > 200000 union all select * from n
 """)
 def q_upsert_keep_last(spark, folder):
     """New rows in place of those of the same key."""
     old = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return J.upsert(old, old.where("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("X")), ["o_orderkey"])
+    return J.upsert(old, old.where("o_totalprice > 200000").withColumn("o_orderstatus", F.lit("X")), ["o_orderkey"])
 
 
 @query("select audio_filepath, max_by(entry_id, (ingested_at, entry_id)) as entry_id from manifest_entries group by 1")
@@ -478,9 +478,10 @@ def q_shuffle(spark, folder):
     return with_position(table(spark, folder, "documents").select("doc_id"), [F.md5(F.concat(F.lit("42"), F.col("doc_id").cast("string"))), F.col("doc_id")], "place")
 
 
-@query("select event_id, user_id, value from events order by user_id, value, event_id limit 200")
+@query("select event_id, row_number() over (order by user_id, value, event_id) - 1 as place from events")
 def q_co_sort(spark, folder):
-    return table(spark, folder, "events").select("event_id", "user_id", "value").orderBy("user_id", "value", "event_id").limit(200)
+    """Events in the order of two columns, with the place."""
+    return with_position(table(spark, folder, "events").select("event_id", "user_id", "value"), ["user_id", "value", "event_id"], "place").select("event_id", "place")
 
 
 @query("select doc_id, p // 50 as shard from (select doc_id, row_number() over (order by doc_id) - 1 as p from documents)")

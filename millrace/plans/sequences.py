@@ -146,12 +146,12 @@ def q_running_max(spark, folder):
 
 
 @query(f"""
-with s as (select segment_id, start_time as a, round(end_time - start_time, 6) as d from {SEG} where end_time - start_time < 60), n as (select *, greatest(cast(ceil(round((d - 1.5) / 0.75 + 1, 9)) as int), 1) as n from s), x as (select *, unnest(range(0, n)) as i from n)
+with s as (select segment_id, start_time as a, round(end_time - start_time, 6) as d from {SEG}), n as (select *, greatest(cast(ceil(round((d - 1.5) / 0.75 + 1, 9)) as int), 1) as n from s), x as (select *, unnest(range(0, n)) as i from n)
 select segment_id, i::int as i, round(a + i * 0.75, 3) as start, round(least(1.5, d - i * 0.75), 3) as duration from x
 """)
 def q_subsegments(spark, folder):
     """Sliding windows over segments."""
-    s = _segments(spark, folder).select("segment_id", F.col("start_time").alias("a"), F.round(F.col("end_time") - F.col("start_time"), 6).alias("d")).where(F.col("d") < 60)
+    s = _segments(spark, folder).select("segment_id", F.col("start_time").alias("a"), F.round(F.col("end_time") - F.col("start_time"), 6).alias("d"))
     n = F.greatest(F.ceil(F.round((F.col("d") - 1.5) / 0.75 + 1, 9)).cast("int"), F.lit(1))
     x = s.select("segment_id", "a", "d", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
     return x.select("segment_id", "i", F.round(F.col("a") + F.col("i") * 0.75, 3).alias("start"), F.round(F.least(F.lit(1.5), F.col("d") - F.col("i") * 0.75), 3).alias("duration"))

@@ -47,11 +47,11 @@ def q_manifest_scan(spark, folder):
     return M.canonical(M.scan_lines(spark, out)).select("id", "audio_file", "text", "duration", "lang")
 
 
-@query("select message_id, content from messages where message_id % 7 <> 0")
+@query("select message_id, content from messages where content <> ''")
 def q_bad_records(spark, folder):
     """Lines of which some aren't JSON; the others are read."""
     m = table(spark, folder, "messages").select("message_id", "content")
-    line = F.when(F.col("message_id") % 7 == 0, F.concat(F.lit("{broken "), F.col("message_id").cast("string"))).otherwise(F.to_json(F.struct("message_id", "content"), {"ignoreNullFields": "false"}))
+    line = F.when(F.coalesce("content", F.lit("")) == "", F.concat(F.lit("{broken "), F.col("message_id").cast("string"))).otherwise(F.to_json(F.struct("message_id", "content"), {"ignoreNullFields": "false"}))
     out = _folder(spark)
     m.select(line.alias("value")).write.text(out)
     return S.parsed(spark, out, "message_id bigint, content string", "drop").select("message_id", "content")
@@ -65,12 +65,12 @@ def q_full_paths(spark, folder):
 
 @query("""
 select segment_id, session_id || '.wav' || case when start_time > 0 then format('-{:06d}-{:06d}', cast(round_even(start_time * 100, 0) as bigint), cast(round_even(d * 100, 0) as bigint)) else '' end as cut_id
-from (select *, end_time - start_time as d from segment where start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time) and end_time > start_time) where segment_id % 11 <> 0
+from (select *, end_time - start_time as d from segment where start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time) and end_time > start_time) where coalesce(words, '') <> ''
 """)
 def q_cut_ids(spark, folder):
     """Identifiers of cuts by path, offset and duration; rows to be skipped fall away."""
     s = table(spark, folder, "segment").where("start_time is not null and end_time > start_time and not isnan(start_time) and not isnan(end_time)")
-    rows = s.select("segment_id", F.concat("session_id", F.lit(".wav")).alias("audio_filepath"), F.col("start_time").alias("offset"), (F.col("end_time") - F.col("start_time")).alias("duration"), (F.col("segment_id") % 11 == 0).alias("_skipme"))
+    rows = s.select("segment_id", F.concat("session_id", F.lit(".wav")).alias("audio_filepath"), F.col("start_time").alias("offset"), (F.col("end_time") - F.col("start_time")).alias("duration"), (F.coalesce("words", F.lit("")) == "").alias("_skipme"))
     return M.cuts(rows).select("segment_id", "cut_id")
 
 
@@ -82,13 +82,13 @@ def q_read_jsonl(spark, folder):
     return S.read_table(spark, out).select("item_id", "text", "lang")
 
 
-@query("select o_orderkey::varchar as o_orderkey, o_orderstatus, o_orderpriority from (select o_orderkey, o_orderstatus, coalesce(o_orderstatus, '') as o_orderpriority from orders where o_orderkey % 10 = 0)")
+@query("select o_orderkey::varchar as o_orderkey, o_orderstatus, o_orderpriority from (select o_orderkey, o_orderstatus, coalesce(o_orderstatus, '') as o_orderpriority from orders)")
 def q_read_csv(spark, folder):
     """Comma- and tab-separated files with all columns as text."""
-    rows = table(spark, folder, "orders").where("o_orderkey % 10 = 0").select("o_orderkey", "o_orderstatus", F.coalesce("o_orderstatus", F.lit("")).alias("o_orderpriority"))
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.coalesce("o_orderstatus", F.lit("")).alias("o_orderpriority"))
     a, b = _folder(spark) + ".csv", _folder(spark) + ".tsv"
-    rows.where("o_orderkey % 20 = 0").write.option("header", "true").csv(a)
-    rows.where("o_orderkey % 20 <> 0").write.option("header", "true").option("sep", "\t").csv(b)
+    rows.where("o_orderstatus = 'F'").write.option("header", "true").csv(a)
+    rows.where("o_orderstatus <> 'F'").write.option("header", "true").option("sep", "\t").csv(b)
     return S.read_table(spark, a).unionByName(S.read_table(spark, b))
 
 
@@ -102,7 +102,7 @@ def q_text_pairs(spark, folder):
 
 
 @query("""
-select conv_id::varchar as id, count(*) + 1 as turns, 'system' as first, sum(length(coalesce(c, ''))) as chars from (select conv_id, turn, arg_min_null(content, message_id) as c from messages where conv_id % 5 <> 0 group by 1, 2) group by 1
+select conv_id::varchar as id, count(*) + 1 as turns, 'system' as first, sum(length(coalesce(c, ''))) as chars from (select conv_id, turn, arg_min_null(content, message_id) as c from messages group by 1, 2) group by 1 having count(*) <= 6
 """)
 def q_conversations_jsonl(spark, folder):
     """Conversations as lines, read with a system turn first; those marked fall away."""
@@ -110,7 +110,7 @@ def q_conversations_jsonl(spark, folder):
     t = F.array_sort(F.collect_list(F.struct("turn", "value")))
     rows = m.groupBy("conv_id").agg(t.alias("x")).select(
         F.col("conv_id").cast("string").alias("id"), F.transform("x", lambda r: F.struct(F.lit("User").alias("from"), F.coalesce(r["value"], F.lit("")).alias("value"))).alias("conversations"),
-        F.create_map(F.lit("_skipme"), F.when(F.col("conv_id") % 5 == 0, "true").otherwise("false")).alias("custom"),
+        F.create_map(F.lit("_skipme"), F.when(F.size("x") > 6, "true").otherwise("false")).alias("custom"),
     )
     out = _folder(spark)
     rows.write.json(out)
@@ -120,7 +120,7 @@ def q_conversations_jsonl(spark, folder):
 
 
 @query("""
-select 'u' || segment_id as label, '/wav/' || session_id || '.wav' as path, round(start_time, 3) as offset, round_even(round(end_time, 3) - round(start_time, 3), 3) as duration, words as text, case when segment_id % 2 = 0 then speaker end as speaker
+select 'u' || segment_id as label, '/wav/' || session_id || '.wav' as path, round(start_time, 3) as offset, round_even(round(end_time, 3) - round(start_time, 3), 3) as duration, words as text, case when speaker < 'C' then speaker end as speaker
 from segment where speaker is not null and start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time) and end_time > start_time and words is not null and words <> ''
 """)
 def q_kaldi_folder(spark, folder):
@@ -131,7 +131,7 @@ def q_kaldi_folder(spark, folder):
     s.select(F.concat_ws(" ", label, "session_id", F.round("start_time", 3).cast("string"), F.round("end_time", 3).cast("string"))).write.text(f"{out}/segments")
     s.select("session_id").distinct().select(F.concat(F.col("session_id"), F.lit(" /wav/"), F.col("session_id"), F.lit(".wav"))).write.text(f"{out}/wav.scp")
     s.select(F.concat_ws(" ", label, "words")).write.text(f"{out}/text")
-    s.where("segment_id % 2 = 0").select(F.concat_ws(" ", label, "speaker")).write.text(f"{out}/utt2spk")
+    s.where("speaker < 'C'").select(F.concat_ws(" ", label, "speaker")).write.text(f"{out}/utt2spk")
     return S.read_kaldi(spark, out)
 
 
