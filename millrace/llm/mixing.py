@@ -17,6 +17,17 @@ def source_key(source: str) -> Column:
     return F.when(key != "", key)
 
 
+def without_superseded(df: DataFrame, ident: str, key: str, order: list[str], size: str) -> DataFrame:
+    """df with a null size in rows whose key was delivered again later by order, so that no entry is used under two ids.
+
+    A null key is a key of its own. The last row of a key is found by an aggregate that reduces before the shuffle.
+    """
+    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0"), F.col(ident).cast("string"))))
+    last = keyed.groupBy("_key").agg(F.max_by(ident, F.struct(*order, ident)).alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", "_last")
+    met = keyed.join(last, "_key", "left")
+    return met.withColumn(size, F.when(F.col("_last").isNull() | (F.col("_last") == F.col(ident)), F.col(size))).select(*df.columns)
+
+
 def _plan(have: pd.DataFrame, targets: pd.DataFrame, total: float | None) -> pd.DataFrame:
     """Per target source: its size, quota and repeats; one row a source."""
     plan = targets.merge(have, on="source", how="left").fillna({"available": 0.0, "n": 0, "weighted": 0.0})
@@ -53,6 +64,7 @@ def mix_entries(df: DataFrame, targets: DataFrame, ident: str, source: str, size
     w = F.coalesce(F.col(weight).cast("double"), F.lit(1.0)) if weight else F.lit(1.0)
     w = F.when(w > 0, F.round(F.log2(w) * 4) / 4).otherwise(F.lit(-8.0))  # weights in steps of a quarter octave: few levels
     rows = df.select(F.col(ident).alias("_id"), source_key(source).alias("source"), F.when(good, F.col(size).cast("double")).alias("_size"), F.least(F.greatest(w, F.lit(-8.0)), F.lit(8.0)).alias("_w"))
+    rows = stage(rows, "entries")
     goal = targets.select(source_key("source").alias("source"), F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("int").alias("max_repeats"))
     goal = goal.where("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")).toPandas()
     names = spark.createDataFrame(goal[["source"]], "source string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.answers import defective_answers
 from millrace.llm.leaks import leaked_items
-from millrace.llm.mixing import mix_entries
+from millrace.llm.mixing import mix_entries, without_superseded
 from millrace.llm.packing import pack_documents, token_count
 from millrace.llm.ranking import Score, borda_ranking
 from millrace.llm.repetition import depleted_documents, repeated_share
@@ -62,14 +62,20 @@ def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
     return split.withColumn("actual_share", F.col("entries") / F.sum("entries").over(Window.partitionBy()))  # one row a split
 
 
+def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    entries = table(spark, folder, "manifest_entries").select("entry_id", "audio_filepath", "source", "duration", "ingested_at")
+    entries = without_superseded(entries, "entry_id", "audio_filepath", ["ingested_at"], "duration")
+    return mix_entries(entries, table(spark, folder, "mix_targets"), "entry_id", "source", "duration", weight="duration")
+
+
 def p3_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """Every manifest entry with the number of its copies in the mix."""
-    return mix_entries(table(spark, folder, "manifest_entries"), table(spark, folder, "mix_targets"), "entry_id", "source", "duration", weight="duration")[0]
+    """Every manifest entry with the number of its copies in the mix; of one delivered again only the last counts."""
+    return _mix(spark, folder)[0]
 
 
 def p3_shares(spark: SparkSession, folder: str) -> DataFrame:
     """What each target source reaches in the mix."""
-    return mix_entries(table(spark, folder, "manifest_entries"), table(spark, folder, "mix_targets"), "entry_id", "source", "duration", weight="duration")[1]
+    return _mix(spark, folder)[1]
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from millrace.llm.mixing import mix_entries
+from millrace.llm.mixing import mix_entries, without_superseded
 from millrace.llm.packing import pack_documents, shortest_pack_first, token_count
 from millrace.llm.ranking import Score, borda_ranking
 
@@ -95,6 +95,13 @@ def test_mix_of_a_given_total_holds_caps_and_repeats_itself(spark):
     assert not none and report["a"]["actual_share"] is None
 
 
+def test_an_entry_delivered_again_is_used_once(spark):
+    rows = [(1, "a", 5, 1.0), (2, "a", 9, 2.0), (3, "b", 1, 3.0), (4, None, 1, 4.0), (5, None, 2, 5.0)]
+    df = spark.createDataFrame(rows, "id long, path string, at int, d double")
+    got = {r["id"]: r["d"] for r in without_superseded(df, "id", "path", ["at"], "d").collect()}
+    assert got == {1: None, 2: 2.0, 3: 3.0, 4: 4.0, 5: 5.0}
+
+
 def test_pareto_sample_follows_the_weights(spark):
     rows = [(i, "a", 1.0 if i % 2 else 4.0, "x") for i in range(20_000)]
     copies, _ = _mix(spark, rows, [("a", 1.0, 1)], weight="d", total=10_000.0)
