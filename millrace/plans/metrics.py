@@ -250,8 +250,8 @@ def q_rank_percentile_995(spark, folder):
 
 
 @query("""
-with s as (select count(*) as n, avg(n_chars) as m, stddev_pop(n_chars) as sd, max(n_chars) as mx from documents), r as (select n_chars, row_number() over (order by n_chars) as r from documents), p as (select n_chars as p from r, s where r.r = ceil(0.995 * n))
-select 32 as batch_size, 128 as max_batch_size, floor(greatest(least(m + 2 * sd, mx), p) / 4)::bigint + 100 as max_seq_length, case when n <= 100 then 1024 when n <= 1000 then 2048 else 4096 end as encoder_hidden_size from s, p
+with s as (select count(*) as n, avg(n_chars) as m, stddev_pop(n_chars) as sd, max(n_chars) as mx from documents), r as (select n_chars, row_number() over (order by n_chars) as r from documents), p as (select n_chars as p from r, s where r.r = ceil(0.995 * n)), b as (select case when n >= 128 then 128 else coalesce((select max(v) from (select unnest([2, 4, 8, 12, 16, 32, 64, 128]) as v) where v < n * 0.9), 2) end as mb from s)
+select least(mb, 32)::int as batch_size, mb::int as max_batch_size, floor(greatest(least(m + 2 * sd, mx), p) / 4)::bigint + 100 as max_seq_length, case when n <= 100 then 1024 when n <= 1000 then 2048 else 4096 end as encoder_hidden_size from s, p, b
 """)
 def q_hyperparameters(spark, folder):
     """Settings recommended from the rows' number and sizes."""
