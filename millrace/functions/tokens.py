@@ -158,3 +158,9 @@ def ids_as_characters(ids: Column, offset: int = 100) -> Column:
     """Ids as characters above offset with blanks between, for count-based language models."""
     one = lambda i: F.decode(F.unhex(F.lpad(F.hex((i + offset).cast("bigint")), 4, "0")), "UTF-16BE")
     return F.array_join(F.transform(ids, one), " ")
+
+
+def special_pieces(text: str | Column) -> Column:
+    """A text as its special tokens, <|...|>, and the texts between them, none empty."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.filter(F.split(F.regexp_replace(c, r"(<\|[^|<>]*\|>)", "\u0001$1\u0001"), "\u0001"), lambda x: x != "")

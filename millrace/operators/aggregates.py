@@ -119,8 +119,8 @@ def ranking_metrics(df: DataFrame, truth: str, score: str) -> DataFrame:
     rows = df.select(F.col(truth).cast("int").alias("t"), F.col(score).cast("double").alias("s")).dropna()
     counts = rows.groupBy("s").agg(F.sum("t").alias("p"), F.sum(1 - F.col("t")).alias("n"))
     upto = running_sum(running_sum(counts, [], ["s"], "p", "cp"), [], ["s"], "n", "cn")
-    tot = counts.agg(F.coalesce(F.sum("p"), F.lit(0)).alias("tp"), F.coalesce(F.sum("n"), F.lit(0)).alias("tn"))
-    x = upto.join(F.broadcast(tot))
+    tot = counts.agg(F.coalesce(F.sum("p"), F.lit(0)).alias("tp"), F.coalesce(F.sum("n"), F.lit(0)).alias("tn")).first()
+    x = upto.withColumns({"tp": F.lit(tot["tp"]), "tn": F.lit(tot["tn"])})
     above_p, above_n = F.col("tp") - F.col("cp") + F.col("p"), F.col("tn") - F.col("cn") + F.col("n")
     roc = F.sum(F.col("p") * (F.col("cn") - F.col("n") / 2)) / F.max(F.nullif(F.col("tp") * F.col("tn"), F.lit(0)))
     pr = F.sum(F.when(F.col("p") > 0, F.col("p") * above_p / (above_p + above_n)).otherwise(0.0)) / F.max(F.nullif(F.col("tp"), F.lit(0)))
@@ -164,8 +164,9 @@ def youden_curve(df: DataFrame, truth: str, score: str, bins: int = 100) -> Data
     counts = rows.groupBy(first.alias("k")).agg(F.sum(1 - F.col(truth).cast("int")).alias("n"), F.sum(F.col(truth).cast("int")).alias("p"))
     grid = df.sparkSession.range(bins + 1).select(F.col("id").cast("int").alias("t"))
     both = grid.join(F.broadcast(counts), F.col("k") <= F.col("t"), "left").groupBy("t").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("p"), F.lit(0)).alias("p"))
-    total = counts.agg(F.sum("n").alias("tn"), F.sum("p").alias("tp"))
-    y = both.join(F.broadcast(total)).select(F.when((F.col("tn") > 0) & (F.col("tp") > 0), F.abs(F.col("n") / F.greatest("tn", F.lit(1)) - F.col("p") / F.greatest("tp", F.lit(1)))).otherwise(0.0).alias("y"))
+    total = counts.agg(F.sum("n").alias("tn"), F.sum("p").alias("tp")).first()
+    neg, pos = total["tn"] or 0, total["tp"] or 0
+    y = both.select((F.abs(F.col("n") / neg - F.col("p") / pos) if neg and pos else F.lit(0.0)).alias("y"))
     return y.agg(F.avg("y").alias("auc_yc"), F.stddev_pop("y").alias("std"), F.max("y").alias("max"))
 
 

@@ -295,3 +295,23 @@ def merge_stream(keys: Sequence[str], order: Sequence[str], seconds: str, text:
         return pd.DataFrame([(*[first[k] for k in keys], i, *x) for i, x in enumerate(out)], columns=[*keys, "merged", "parts", "seconds", "text"])
 
     return run
+
+
+def filled_packs(df: DataFrame, ids: str, mask: str | None = None, answer_start: str | None = None) -> DataFrame:
+    """Packs (see packed) with their contents: pack, input_ids, loss_mask, position_ids, seq_start_id, cu_seqlens.
+
+    The loss mask is each item's mask moved one place to the left, as labels are; without a mask it is true from the place
+    before answer_start on, and without either everywhere. A pack has at most its capacity, so it fits in a row.
+    """
+    own = F.col(ids)
+    if mask:
+        loss = F.concat(F.slice(F.col(mask), F.lit(2), F.size(mask)), F.array(F.lit(False)))
+    elif answer_start:
+        loss = F.transform(own, lambda _, i: i >= F.col(answer_start) - 1)
+    else:
+        loss = F.transform(own, lambda _: F.lit(True))
+    g = df.select("pack", F.struct("slot", own.alias("ids"), loss.alias("loss")).alias("_x")).groupBy("pack").agg(F.array_sort(F.collect_list("_x")).alias("_x"))
+    ends = F.aggregate("_x", F.array(F.lit(0)), lambda a, x: F.array_append(a, (F.element_at(a, -1) + F.size(x["ids"])).cast("int")))
+    flat = lambda f: F.flatten(F.transform("_x", f))
+    out = g.select("pack", flat(lambda x: x["ids"]).alias("input_ids"), flat(lambda x: x["loss"]).alias("loss_mask"), flat(lambda x: F.transform(x["ids"], lambda _, i: i)).alias("position_ids"), ends.alias("cu_seqlens"))
+    return out.select("pack", "input_ids", "loss_mask", "position_ids", F.slice("cu_seqlens", F.lit(1), F.size("cu_seqlens") - 1).alias("seq_start_id"), "cu_seqlens")

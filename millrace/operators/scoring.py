@@ -102,15 +102,15 @@ def bleu(df: DataFrame, ident: str, hyp: str, ref: str, order: int = 4, smooth:
         return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), "\u0001"))).otherwise(F.array().cast("array<string>"))
 
     rows = df.select(F.col(ident).alias("_id"), h.alias("h"), r.alias("r"))
-    sizes = rows.agg(F.sum(F.size("h")).alias("hn"), F.sum(F.size("r")).alias("rn"))
+    sizes = rows.agg(F.sum(F.size("h")).alias("hn"), F.sum(F.size("r")).alias("rn")).first()
+    hn, rn = sizes["hn"] or 0, sizes["rn"] or 0
     side = lambda c: rows.select("_id", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), grams(F.col(c), n).alias("g")) for n in range(1, order + 1)])).alias("x")).select("_id", "x.n", F.explode("x.g").alias("g")).groupBy("_id", "n", "g").agg(F.count(F.lit(1)).alias(c))
     both = side("h").join(side("r"), ["_id", "n", "g"], "left")
     by = both.groupBy("n").agg(F.sum(F.least("h", F.coalesce("r", F.lit(0)))).alias("met"), F.sum("h").alias("all"))
     by = by.select("n", F.when(F.lit(smooth) & (F.col("n") > 1), (F.col("met") + 1) / (F.col("all") + 1)).otherwise(F.col("met") / F.col("all")).alias("p"))
     total = by.agg(F.count(F.lit(1)).alias("k"), F.min("p").alias("least"), F.avg(F.when(F.col("p") > 0, F.log("p"))).alias("mean"))
-    x = total.join(F.broadcast(sizes))
-    brevity = F.when(F.col("hn") >= F.col("rn"), 1.0).otherwise(F.exp(1 - F.col("rn") / F.nullif(F.col("hn"), F.lit(0))))
-    return x.select(F.when((F.col("k") == order) & (F.col("least") > 0), 100 * brevity * F.exp("mean")).otherwise(0.0).alias("bleu"))
+    brevity = 1.0 if hn >= rn else math.exp(1 - rn / hn) if hn else 0.0
+    return total.select(F.when((F.col("k") == order) & (F.col("least") > 0), 100 * brevity * F.exp("mean")).otherwise(0.0).alias("bleu"))
 
 
 def rouge_values(pred: str | None, ref: str | None) -> tuple[float, float, float]:

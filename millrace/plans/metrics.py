@@ -330,3 +330,12 @@ def q_linear_search(spark, folder):
     x = r.withColumn("coefficient", F.explode(F.array(*[F.lit(v) for v in (0.0, 0.25, 0.5, 0.75, 1.0)])))
     best = x.groupBy("coefficient", "prompt_id").agg(F.max_by("cer_gts", F.struct(F.col("pred_context_similarity") - F.col("coefficient") * F.col("wer_gts"), -F.col("record_id"))).alias("d"))
     return best.groupBy("coefficient").agg(F.round(F.avg("d"), 9).alias("rate"))
+
+
+@query("select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double)) / len(embedding)), 6) as rms, round(20 * log10(list_max(list_transform(embedding, lambda x: abs(x::double)))), 6) as peak_db from embeddings")
+def q_levels(spark, folder):
+    """Levels of arrays of samples."""
+    from millrace.functions import levels as L
+
+    e = F.col("embedding")
+    return table(spark, folder, "embeddings").select("vec_id", F.round(L.rms(e), 6).alias("rms"), F.round(L.magnitude_to_db(L.peak(e)), 6).alias("peak_db"))

@@ -196,3 +196,10 @@ def q_lexicon(spark, folder):
     lex = w.select("word").distinct().where(F.length("word") > 3).select("word", F.concat(F.lit("W"), F.length("word").cast("string")).alias("said"))
     met = w.join(lex, "word", "left").groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("said", "word").alias("s")))).alias("x"))
     return met.select("item_id", F.array_join(F.transform("x", lambda x: x["s"]), " ").alias("said"))
+
+
+@query("select entry_id, list_filter(['<|' || coalesce(lang, 'en') || '|>', coalesce(text, ''), '<|endoftext|>'], lambda x: x <> '') as pieces from manifest_entries")
+def q_special_pieces(spark, folder):
+    """Texts with special tokens around, taken apart."""
+    t = F.concat(P.language_tag(F.coalesce("lang", F.lit("en"))), F.coalesce("text", F.lit("")), F.lit("<|endoftext|>"))
+    return table(spark, folder, "manifest_entries").select("entry_id", K.special_pieces(t).alias("pieces"))

@@ -430,6 +430,17 @@ def q_pack_report(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES |= {"q_first_fit_decreasing": q_first_fit_decreasing, "q_greedy_knapsack": q_greedy_knapsack, "q_pack_report": q_pack_report}
 
 
+def q_fill_packs(spark: SparkSession, folder: str) -> DataFrame:
+    """Packs with their tokens, masks and starts."""
+    ids = F.transform(T.split_words("text"), lambda w: F.length(w))
+    d = table(spark, folder, "eval_items").select("item_id", ids.alias("ids")).withColumn("n", F.size("ids")).where("n > 0 and n <= 128")
+    packs = B.packed(d, ["item_id"], "n", B.first_fit_decreasing(B.histogram(d, "n"), 128))
+    return B.filled_packs(packs, "ids")
+
+
+QUERIES["q_fill_packs"] = q_fill_packs
+
+
 @query("""
 with d as (select doc_id, n_chars as n, row_number() over (order by doc_id) - 1 as doc_place, sum(n_chars) over (order by doc_id) as hi from documents where n_chars > 0),
 s as (select s as sample from range(0, (select cast((max(hi) - 1) // 512 as bigint) from d) + 1) t(s))

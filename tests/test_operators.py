@@ -196,6 +196,16 @@ def test_items_meet_their_packs(spark):
     assert sorted(packs.id) == list(range(90)) and packs.groupby("pack")["n"].sum().max() <= 8 and not packs.duplicated(["pack", "slot"]).any()
 
 
+def test_filled_packs(spark):
+    rows = [(0, 0, [1, 2, 3], [False, True, True], 1), (0, 1, [4, 5], [True, False], 0), (1, 0, [6], [True], 0)]
+    df = spark.createDataFrame(rows, "pack long, slot int, ids array<int>, mask array<boolean>, answer int")
+    got = {r["pack"]: r for r in B.filled_packs(df, "ids", mask="mask").collect()}
+    assert got[0]["input_ids"] == [1, 2, 3, 4, 5] and got[0]["loss_mask"] == [True, True, False, False, False]
+    assert got[0]["position_ids"] == [0, 1, 2, 0, 1] and got[0]["seq_start_id"] == [0, 3] and got[0]["cu_seqlens"] == [0, 3, 5] and got[1]["seq_start_id"] == [0]
+    got = {r["pack"]: r for r in B.filled_packs(df, "ids", answer_start="answer").collect()}
+    assert got[0]["loss_mask"] == [True, True, True, True, True]
+
+
 def brute_starts(sizes, length):
     flat = [(d, o) for d, n in enumerate(sizes) for o in range(n)]
     return [flat[s * length] for s in range((len(flat) - 1) // length + 1)]
