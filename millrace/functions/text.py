@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -24,6 +24,11 @@ def char_class(chars: Iterable[str]) -> str:
     return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(set(chars))) + "]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, with value worked out once; inside a lambda an expression would be worked out for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: str | Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(_c(text), rf"^{BLANK}+|{BLANK}+$", "")
@@ -239,13 +244,15 @@ def edit_distance_words(a: str | Column, b: str | Column) -> Column:
 
     Exact for pairs with up to 6,400 distinct words; null beyond, and where a text is null.
     """
-    x, y = split_words(a), split_words(b)
-    words = F.array_distinct(F.concat(x, y))
 
-    def as_chars(ws: Column) -> Column:
-        return F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.hex(F.lit(57344).cast("bigint") - 1 + F.array_position(words, w))), "UTF-16BE")), "")
+    def as_chars(ws: Column, words: Column) -> Column:
+        return F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.hex(F.lit(57343).cast("bigint") + F.array_position(words, w))), "UTF-16BE")), "")
+
+    def distance(t: Column) -> Column:
+        return F.when(F.size(t["v"]) <= 6400, F.levenshtein(as_chars(t["x"], t["v"]), as_chars(t["y"], t["v"])))
 
-    return F.when(F.size(words) <= 6400, F.levenshtein(as_chars(x), as_chars(y)))
+    both = F.struct(split_words(a).alias("x"), split_words(b).alias("y"))
+    return let(both, lambda s: let(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.array_distinct(F.concat(s["x"], s["y"])).alias("v")), distance))
 
 
 def common_suffix_length(column: str | Column, limit: int = 100) -> Column:

@@ -62,6 +62,22 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return joined.select(*[local[c] for c in df.columns], (local["_sum"] + F.coalesce(carried["_before"], F.lit(0))).alias(name))
 
 
+def scanned(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], sums: dict[str, str], before: dict[str, str] | None = None, parts: int | None = None) -> DataFrame:
+    """Several running sums (name to value), and values of the row before (name to value), in one pass per keys and order."""
+    before = before or {}
+    there = range_sorted(df, [*keys, *order], parts)
+    w = Window.partitionBy(PART, *keys).orderBy(PLACE)
+    upto, prior = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    local = there.withColumns({f"_s_{n}": F.coalesce(F.sum(v).over(upto), F.lit(0)) for n, v in sums.items()} | {f"_b_{n}": F.lag(F.struct(F.col(v).alias("v"))).over(w) for n, v in before.items()})
+    edges = there.groupBy(PART, *keys).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(f"_t_{n}") for n, v in sums.items()], *[F.max_by(F.struct(F.col(v).alias("v")), PLACE).alias(f"_t_{n}") for n, v in before.items()])
+    carried = edges.select(PART, *keys, *[F.sum(f"_t_{n}").over(prior).alias(f"_c_{n}") for n in sums], *[F.last(f"_t_{n}").over(prior).alias(f"_c_{n}") for n in before], F.count(F.lit(1)).over(prior).alias("_k")).where("_k > 0").drop("_k")
+    joined = local.join(F.broadcast(carried), _all([local[c].eqNullSafe(carried[c]) for c in (PART, *keys)]), "left")
+    return joined.select(
+        *[local[c] for c in df.columns], *[(F.col(f"_s_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0))).alias(n) for n in sums],
+        *[F.coalesce(f"_b_{n}", f"_c_{n}")["v"].alias(n) for n in before],
+    )
+
+
 def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str, parts: int | None = None) -> DataFrame:
     """Add the last non-null value of the rows strictly before this one with the same keys, in the given order.
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.text import split_words
 from millrace.operators.joins import overlapping
-from millrace.operators.ordered import running_sum
+from millrace.operators.ordered import scanned
 from millrace.session import stage
 
 
@@ -263,12 +263,8 @@ def diarization_errors(ref: DataFrame, hyp: DataFrame, session: str, width: floa
     for p in parts[1:]:
         events = events.unionByName(p)
     events = events.groupBy(session, "t").agg(*[F.sum(k).alias(k) for k in ("nr", "nh", "nc")])
-    for k in ("nr", "nh", "nc"):
-        events = running_sum(events, [session], ["t"], k, f"_{k}")
-    nxt = running_sum(events.withColumn("_one", F.lit(1)), [session], ["t"], "_one", "_k")
-    later = nxt.select(session, (F.col("_k") - 1).alias("_k"), F.col("t").alias("_next"))
-    x = nxt.join(later, [session, "_k"]).withColumn("d", F.col("_next") - F.col("t"))
-    r, h, c = F.col("_nr"), F.col("_nh"), F.col("_nc")
+    x = scanned(events, [session], ["t"], {"_nr": "nr", "_nh": "nh", "_nc": "nc"}, {"_t": "t"}).where("_t is not null").withColumn("d", F.col("t") - F.col("_t"))
+    r, h, c = (F.col(f"_{k}") - F.col(k) for k in ("nr", "nh", "nc"))  # what was on before this border
     out = x.groupBy(session).agg(
         F.sum(r * F.col("d")).alias("total"), F.sum(F.greatest(r - h, F.lit(0)) * F.col("d")).alias("miss"),
         F.sum(F.greatest(h - r, F.lit(0)) * F.col("d")).alias("false_alarm"), F.sum((F.least(r, h) - c) * F.col("d")).alias("confusion"),
@@ -378,9 +374,8 @@ def normalized_rewards(df: DataFrame, columns: Sequence[str], name: str = "rewar
 def session_talk(df: DataFrame, session: str) -> DataFrame:
     """Per session of intervals (session, start, end): span, silence and overlap in seconds and as shares of the span."""
     ev = df.select(session, F.col("start").alias("t"), F.lit(1).alias("n")).unionByName(df.select(session, F.col("end").alias("t"), F.lit(-1).alias("n")))
-    ev = running_sum(ev.groupBy(session, "t").agg(F.sum("n").alias("n")), [session], ["t"], "n", "_on")
-    nxt = running_sum(ev.withColumn("_one", F.lit(1)), [session], ["t"], "_one", "_k")
-    x = nxt.join(nxt.select(session, (F.col("_k") - 1).alias("_k"), F.col("t").alias("_next")), [session, "_k"]).withColumn("d", F.col("_next") - F.col("t"))
+    x = scanned(ev.groupBy(session, "t").agg(F.sum("n").alias("n")), [session], ["t"], {"_upto": "n"}, {"_t": "t"}).where("_t is not null")
+    x = x.withColumns({"d": F.col("t") - F.col("_t"), "_on": F.col("_upto") - F.col("n")})
     out = x.groupBy(session).agg(F.sum("d").alias("span"), F.sum(F.when(F.col("_on") == 0, F.col("d")).otherwise(0.0)).alias("silence"), F.sum(F.when(F.col("_on") > 1, F.col("d")).otherwise(0.0)).alias("overlap"))
     return out.withColumns({"silence_share": F.try_divide("silence", "span"), "overlap_share": F.try_divide("overlap", "span")})
 

@@ -12,6 +12,7 @@ from millrace.operators.joins import bounded_hash
 from millrace.operators.ordered import with_position
 from millrace.plans.metrics import WORD_PAIRS, _pairs
 from millrace.plans.tables import table
+from millrace.session import stage
 
 QUERIES, SQL = {}, {}
 
@@ -62,7 +63,7 @@ def _speech(spark: SparkSession, folder: str) -> DataFrame:
     """Periods of each session and speaker in seconds."""
     s = table(spark, folder, "segment").select("session_id", "speaker", to_millis("start_time").alias("s"), to_millis("end_time").alias("e"))
     p = periods_and_gaps(s, ["session_id", "speaker"], "s", "e").where("kind = 'period'")
-    return p.select("session_id", "speaker", (F.col("start") / 1000).alias("start"), (F.col("end") / 1000).alias("end"))
+    return stage(p.select("session_id", "speaker", (F.col("start") / 1000).alias("start"), (F.col("end") / 1000).alias("end")), "speech")  # read several times
 
 
 @query()

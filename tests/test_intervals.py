@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 from millrace.operators.intervals import periods_and_gaps, to_millis
-from millrace.operators.ordered import carry_last, running_sum, with_position
+from millrace.operators.ordered import carry_last, running_sum, scanned, with_position
 
 SCHEMA = "k string, s long, e long, kind string"
 
@@ -69,3 +69,10 @@ def test_positions_sums_and_carried_values(spark):
     assert {r["i"]: r["t"] for r in running_sum(df, ["k"], ["i"], "v", "t", 6).collect()} == want_sum
     assert {r["i"]: r["t"] for r in carry_last(df, ["k"], ["i"], "v", "t", 6).collect()} == want_last
     assert with_position(df.where("false"), ["i"]).count() == 0
+    got = scanned(df, ["k"], ["i"], {"t": "v"}, {"b": "v"}, 6).collect()
+    assert {r["i"]: r["t"] for r in got} == want_sum
+    prior, want = {}, {}
+    for k, i, v in order:
+        want[i] = prior.get(k)
+        prior[k] = v
+    assert {r["i"]: r["b"] for r in got} == want
