@@ -172,21 +172,20 @@ ENTITIES = ["&lt;", "&gt;", "&amp;", "&quot;"]
 def is_speech_text(text: str | Column) -> Column:
     """Whether a text may be a transcript, not a tag, code, an endless repetition or mostly signs."""
     c = F.coalesce(_c(text), F.lit(""))
-    bare = strip(c)
     size = F.length(c)
-    wordish = F.length(F.regexp_replace(c, r"[^\p{L}\p{N}\s\x0B\x1C-\x1F\x85\p{Z}]", ""))
+    signs = F.regexp_count(c, F.lit(r"[^\p{L}\p{N}\s\x0B\x1C-\x1F\x85\p{Z}]"))
     start = F.substring(c, 1, 10)
     again = (size - F.length(F.replace(c, start, F.lit("")))) / F.when(start != "", F.length(start))
-    runs = F.exists(F.split(F.substring(c, 1, 20), ""), lambda x: (x != "") & F.contains(c, F.repeat(x, F.lit(10))))
+    runs = F.exists(F.array_distinct(F.split(F.substring(c, 1, 20), "")), lambda x: (x != "") & F.contains(c, F.repeat(x, F.lit(10))))
     traces = "|".join(map(re.escape, CODE_TRACES + ENTITIES))
+    tags = "|".join(map(re.escape, MUSIC_TAGS))
     return (
-        (bare != "")
-        & ~bare.isin(*MUSIC_TAGS)
+        c.rlike(rf"[^{BLANK[1:-1]}]")
+        & ~c.rlike(rf"\A{BLANK}*(?:{tags}){BLANK}*\z")
         & ~c.rlike(traces)
-        & (F.length(F.regexp_replace(c, r"[^{}\[\]]", "")) <= 3)
+        & (F.regexp_count(c, F.lit(r"[{}\[\]]")) <= 3)
         & ~((size > 20) & ((again >= 3) | runs))
-        & (wordish >= 0.5 * size)
-        & (size - wordish <= 0.3 * size)
+        & (signs <= 0.3 * size)
     )
 
 

@@ -248,11 +248,12 @@ def diarization_errors(ref: DataFrame, hyp: DataFrame, session: str, width: floa
     kind = ref.schema[session].dataType.simpleString()
 
     def match(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        grid = pdf.pivot_table(index="r", columns="h", values="t", aggfunc="sum", fill_value=0.0)
-        cost = -grid.to_numpy(float)
+        (ri, rs), (hi, hs) = pd.factorize(pdf["r"], sort=True), pd.factorize(pdf["h"], sort=True)
+        cost = np.zeros((len(rs), len(hs)))
+        np.add.at(cost, (ri, hi), -pdf["t"].to_numpy(float))
         flip = cost.shape[0] > cost.shape[1]
         pick = assignment(cost.T if flip else cost)
-        rows = [(grid.index[j], grid.columns[i]) if flip else (grid.index[i], grid.columns[j]) for i, j in enumerate(pick)]
+        rows = [(rs[j], hs[i]) if flip else (rs[i], hs[j]) for i, j in enumerate(pick)]
         return pd.DataFrame([(key[0], r, h) for r, h in rows], columns=[session, "r", "h"])
 
     pairs = table.groupBy(session).applyInPandas(match, f"{session} {kind}, r string, h string")
