@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from millrace.functions import text as T
 from millrace.operators.joins import with_payload
 from millrace.plans.tables import table
 from millrace.plans.texts import _words
-from millrace.session import shared_dir
+from millrace.session import fresh_path
 from millrace.sources import manifest as M
 from millrace.sources import tables as S
 from millrace.sources.tar import assign_shards, read_tar, write_tar
@@ -30,12 +28,7 @@ def query(sql: str | None = None):
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder name in the shared folder, gone when the application ends."""
-    path = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
-    return path
+    return fresh_path(spark, "files")
 
 
 @query("select row_number() over (order by entry_id) - 1 as id, audio_filepath as audio_file, coalesce(text, '') as text, coalesce(duration, 0) as duration, lang from manifest_entries where not coalesce(isnan(duration), false)")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.plans.tables import table
 from millrace.plans.texts import _words
-from millrace.session import shared_dir
+from millrace.session import fresh_path
 from millrace.streaming import frames as R
 from millrace.streaming import utterances as U
 from millrace.streaming import windows as W
@@ -35,9 +33,7 @@ def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _drained(spark: SparkSession, df: DataFrame, mode: str) -> DataFrame:
-    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    out = fresh_path(spark, "stream")
     schema = df.schema
     U.drain(df, out, mode)
     got = spark.read.parquet(f"{out}/data") if mode == "complete" else spark.read.schema(schema).parquet(f"{out}/data")
@@ -85,7 +81,7 @@ def q_stream_utterances(spark, folder):
     first = F.greatest(F.col("frame_no") * 4, F.lit(1))  # each frame but the first begins with the last token before it
     tokens = F.slice("t", first, F.when(F.col("frame_no") == 0, 4).otherwise(5))
     rows = rows.select("stream_id", "frame_no", tokens.alias("tokens"), F.transform(tokens, lambda x: x.cast("double")).alias("timesteps"), (F.col("frame_no") == F.col("n") - 1).alias("is_last"))
-    out = f"{shared_dir(spark)}/frames-{uuid.uuid4().hex}"
+    out = fresh_path(spark, "frames")
     rows.write.parquet(out)
     u = U.utterances(spark.readStream.schema(rows.schema).parquet(out), silence=60.0, limit=1)
     return _drained(spark, u, "append").where("kind = 'final'").select("stream_id", "utterance", "tokens", "start", "end")

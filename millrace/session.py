@@ -24,6 +24,10 @@ def local_session(name: str = "millrace", cores: int | str = "*", partitions: in
     )
 
 
+#: The folders of local sessions without the setting, by application.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from spark.checkpoint.dir.
 
@@ -35,10 +39,24 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
-    spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{made}"))
-    return f"file://{made}"
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
+        _gone_at_exit(spark, _own[app])
+    return _own[app]
+
+
+def _gone_at_exit(spark: SparkSession, path: str) -> None:
+    """Have Hadoop delete the path when the application ends."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _gone_at_exit(spark, path)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -47,11 +65,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     The table goes when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(conf).deleteOnExit(there)
     return spark.read.schema(df.schema).parquet(path)
 
 
