@@ -10,7 +10,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 
-from millrace.llm.skeleton import skeleton
+from millrace.llm.skeleton import PROTOTYPES, skeleton
 
 END = "\x00"
 # What opens a line but isn't its text: quote marks, bullets, numbering, a time in brackets, a speaker's name with a colon.
@@ -29,17 +29,33 @@ class Words(NamedTuple):
 
 
 def one_form(text: str) -> str:
-    """Lower case in one character form; a text of ASCII only needs the former."""
-    return text.lower() if text.isascii() else skeleton_lines(text).lower()
+    """Lower case in one character form; a text of ASCII, or of composed Latin letters and Chinese, only needs the former."""
+    if text.isascii() or (unicodedata.is_normalized("NFC", text) and not _ODD.search(text)):
+        return text.lower()
+    return unicodedata.normalize("NFC", "\n".join(map(_line_form, text.split("\n"))))
 
 
-def skeleton_lines(text: str) -> str:
-    """The skeleton line by line, accents composed again."""
-    if unicodedata.is_normalized("NFC", text) and not _ODD.search(text):
-        return text
-    return unicodedata.normalize("NFC", "\n".join(map(skeleton, text.split("\n"))))
+def _line_form(line: str) -> str:
+    """The skeleton in lower case.
 
+    In a line of Cyrillic, Greek or Armenian, case goes first, as only some of its capitals look Latin; elsewhere a
+    look-alike may stand for a Latin capital, so its prototype is taken first.
+    """
+    if 2 * len(_OWN.findall(line)) > len(_LATIN.findall(line)):
+        return skeleton(_LETTERS.sub(_own_capitals, line).lower())
+    return skeleton(line).lower()
 
+
+def _own_capitals(word: re.Match) -> str:
+    """Latin capitals in a word that has Cyrillic letters too as Cyrillic ones."""
+    return word[0].translate(_TO_CYRILLIC) if _CYRILLIC.search(word[0]) and not word[0].islower() else word[0]
+
+
+# Letters of these scripts that don't look Latin, and those of any Latin text.
+_OWN = re.compile("[" + "".join(chr(c) for c in range(0x370, 0x590) if chr(c).isalpha() and chr(c) not in PROTOTYPES) + "]")
+_LATIN, _CYRILLIC, _LETTERS = re.compile("[A-Za-z\u00c0-\u024f]"), re.compile("[\u0400-\u052f]"), re.compile(r"[^\W\d_]+")
+# Latin capitals by the Cyrillic ones they look like.
+_TO_CYRILLIC = str.maketrans("ABCEHKMOPTXY", "АВСЕНКМОРТХУ")
 # Any character outside Latin letters and signs, Chinese and Japanese: such a text is mapped whole, alike everywhere.
 _ODD = re.compile("[^\x00-\x7f\u00a1-\u00ac\u00ae-\u024f\u2010-\u2027\u3001-\u30ff\u3400-\u9fff\uff01-\uff0f\uff1a-\uff20]")
 

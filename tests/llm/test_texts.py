@@ -100,6 +100,13 @@ def test_repetition_sees_through_tags_case_and_numbers(spark):
     assert repeated_share(df.where("false"), "id", "text").count() == 0
 
 
+def test_case_in_scripts_that_partly_look_latin(spark):
+    line = "Старый ящик под важный рынок сравнил новый музей, а тихий мотор закрыл важный отчёт у пристани"
+    rows = [(1, f"{line}.\n{line.upper()}!"), (2, f"{line}\n{line.replace('В', 'B').replace('С', 'C').replace('а', 'a')}"), (3, "Вroken clоck at the Моtel near the river. broken CLOCK at the motel near the river.")]
+    got = {r["id"]: r["repeated_share"] for r in repeated_share(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()}
+    assert all(abs(x - 0.5) < 0.01 for x in got.values()), got
+
+
 def test_recurring_lines(spark):
     rows = [(i, "h", f"Subscribe now!\nOwn text number {'abcdefghij'[i]}\n\n", 1) for i in range(10)] + [(20, "h", "subscribe NOW", 1), (21, None, "subscribe now", 1), (22, "h", None, 1), (23, "h", "", 1)]
     df = spark.createDataFrame(rows, "id long, host string, text string, lines int")
