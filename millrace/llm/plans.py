@@ -51,6 +51,16 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return speakers_together(table(spark, folder, "manifest_entries"))
 
 
+P2_SQL = r"""
+with recursive v as (select distinct speaker, lower(regexp_replace(speaker, '[^\p{L}\p{N}]', '', 'g')) as k from manifest_entries where speaker is not null),
+n as (select distinct lower(regexp_replace(speaker, '[^\p{L}\p{N}]', '', 'g')) as k, regexp_extract(lower(audio_filepath), 'rec([0-9]{8})', 1) as r from manifest_entries where speaker is not null),
+link as (select distinct a.k as x, b.k as y from n a join n b on a.r = b.r where a.r <> '' and a.k not in ('', 'unknown') and b.k not in ('', 'unknown')),
+reach as (select x, y from link union select reach.x, link.y from reach join link on reach.y = link.x),
+same as (select x, y from reach union select k, k from v where k not in ('', 'unknown'))
+select a.speaker as speaker_a, b.speaker as speaker_b from same join v a on a.k = same.x join v b on b.k = same.y where a.speaker < b.speaker
+"""
+
+
 def p2_split(spark: SparkSession, folder: str) -> DataFrame:
     """Every manifest entry with its component and split."""
     return split_entries(table(spark, folder, "manifest_entries"), table(spark, folder, "split_targets"))
@@ -145,6 +155,15 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_share(spark, folder).where("repeated_share >= 0.25").select("doc_id")
 
 
+P9_LINES_SQL = r"""
+with l as (select doc_id, coalesce(source, '') as host, unnest(string_split(text, chr(10))) as line from documents),
+k as (select doc_id, host, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[^\p{L}\p{N}]+', ' ', 'g')) as k from l where regexp_matches(line, '[\p{L}\p{N}]')),
+e as (select doc_id, host, k, count(*) as n from k group by all), c as (select host, k from e group by all having count(*) > 5),
+s as (select doc_id, sum(n)::bigint as lines, coalesce(sum(n) filter (where c.k is null), 0)::bigint as kept_lines from e left join c on c.host = e.host and c.k = e.k group by 1)
+select d.doc_id, coalesce(lines, 0) as lines, coalesce(kept_lines, 0) as kept_lines, coalesce(kept_lines / lines, 0)::double as kept_share, coalesce(lines > 0 and kept_lines / lines < 0.5, false) as depleted from documents d left join s using (doc_id)
+"""
+
+
 def p9_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without the lines that recur over its source's documents."""
     return depleted_documents(table(spark, folder, "documents"), "doc_id", "text", "source")
@@ -155,4 +174,4 @@ QUERIES = {
     "p4_found": p4_found, "p4_one_form": p4_one_form, "p5_found": p5_found, "p5_counts": p5_counts, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
     "p9_found": p9_found, "p9_share": p9_share, "p9_recurring_lines": p9_recurring_lines,
 }
-SQL = {"p1_ranking": P1_SQL}
+SQL = {"p1_ranking": P1_SQL, "p2_found": P2_SQL, "p9_recurring_lines": P9_LINES_SQL}
