@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,17 +15,16 @@ from millrace.operators.ordered import carry_last
 
 
 def within(value: Column, least: float | None = None, most: float | None = None) -> Column:
-    """least <= value <= most; a bound of None is open; a null value passes (the filter doesn't apply to the row)."""
-    ok = F.lit(True)
-    if least is not None:
-        ok = ok & (value >= least)
-    if most is not None:
-        ok = ok & (value <= most)
-    return F.coalesce(ok, F.lit(True))
+    """least <= value <= most; a bound of None is open; a null value passes (the filter doesn't apply to the row).
+
+    Said without coalesce, so that a filter on a plain column reaches the scan.
+    """
+    bounds = [value >= least] * (least is not None) + [value <= most] * (most is not None)
+    return value.isNull() | reduce(and_, bounds) if bounds else F.lit(True)
 
 
 def equals_or_missing(value: Column, keep: str) -> Column:
-    return F.coalesce(value == keep, F.lit(True))
+    return value.isNull() | (value == keep)
 
 
 def tokens_per_second(tokens: Column, seconds: Column, least: float | None = None, most: float | None = None) -> Column:
