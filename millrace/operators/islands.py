@@ -59,22 +59,21 @@ def end_by_timestamps(steps: Column, length: Column, silence: int) -> Column:
 def end_by_emissions(emissions: Column, blank: int, pivot: Column, search_start: int, silence: int) -> Column:
     """Where an utterance ends by a run of more than silence blanks, looked for backwards down to silence before the pivot.
 
-    null where none is found. The run may be cut by the lower end of the search.
+    null where none is found. The run may be cut by the lower end of the search. Time grows with the number of emissions.
     """
-    low = F.greatest(F.lit(0), F.lit(search_start), pivot - silence)
-    places = F.reverse(F.filter(F.sequence(F.lit(0), F.size(emissions) - 1), lambda i: i >= low))
-    start = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("at"), F.lit(False).alias("closed"))
+    low = F.greatest(F.lit(0), F.lit(search_start), pivot - silence).cast("int")
+    scanned = F.reverse(F.slice(emissions, low + 1, F.greatest(F.size(emissions) - low, F.lit(0))))
+    start = F.struct((F.size(emissions) - 1).alias("i"), F.lit(0).alias("n"), F.lit(-1).alias("at"), F.lit(False).alias("closed"))
 
-    def step(a: Column, i: Column) -> Column:
-        silent = F.element_at(emissions, (i + 1).cast("int")) == blank
-        n = a["n"] + 1
-        on = F.struct(n.alias("n"), F.when(n > silence, i.cast("int")).otherwise(a["at"]).alias("at"), a["closed"].alias("closed"))
-        off = F.when(a["n"] > silence, F.struct(a["n"].alias("n"), a["at"].alias("at"), F.lit(True).alias("closed"))).otherwise(F.struct(F.lit(0).alias("n"), F.lit(-1).alias("at"), F.lit(False).alias("closed")))
-        return F.when(a["closed"], a).when(silent, on).otherwise(off)
+    def step(a: Column, x: Column) -> Column:
+        n, i = a["n"] + 1, a["i"] - 1
+        on = F.struct(i.alias("i"), n.alias("n"), F.when(n > silence, a["i"]).otherwise(a["at"]).alias("at"), a["closed"].alias("closed"))
+        off = F.when(a["n"] > silence, F.struct(i.alias("i"), a["n"].alias("n"), a["at"].alias("at"), F.lit(True).alias("closed"))).otherwise(F.struct(i.alias("i"), F.lit(0).alias("n"), F.lit(-1).alias("at"), F.lit(False).alias("closed")))
+        return F.when(a["closed"], a).when(x == blank, on).otherwise(off)
 
     if silence <= 0:
         return F.lit(None).cast("int")
-    found = F.aggregate(places, start, step)
+    found = F.aggregate(scanned, start, step)
     return F.when((F.size(emissions) > 0) & (found["n"] > silence), found["at"] + silence // 2)
 
 

@@ -101,10 +101,10 @@ def q_eou_vad(spark, folder):
 
 
 def q_eou_emissions(spark: SparkSession, folder: str) -> DataFrame:
-    """The end of an utterance by a run of blanks before a pivot."""
-    d = table(spark, folder, "documents").where(F.length("text") >= 40)
-    e = F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.when(F.substring("text", i, F.lit(1)).rlike("[a-m]"), 1).otherwise(0))
-    return d.select("doc_id", e.alias("e")).select("doc_id", I.end_by_emissions(F.col("e"), 0, F.lit(30), 0, 3).alias("at"))
+    """The end of an utterance by a run of blanks before a pivot at three quarters of the text."""
+    e = F.transform(F.split("text", ""), lambda c: F.when(c.between("a", "m"), 1).otherwise(0))
+    d = table(spark, folder, "documents").select("doc_id", e.alias("e"))
+    return d.select("doc_id", I.end_by_emissions(F.col("e"), 0, F.floor(F.size("e") * 3 / 4), 0, 3).alias("at"))
 
 
 QUERIES["q_eou_emissions"] = q_eou_emissions
@@ -551,9 +551,10 @@ def q_collapse_repeats(spark, folder):
 
 
 def q_clamped_offsets(spark: SparkSession, folder: str) -> DataFrame:
-    """Offsets of two chunks in a row, each start held to the end before."""
-    s = _steps(spark, folder).where(F.size("t") >= 4).select("session_id", "speaker", F.slice("t", 1, 4).alias("t"))
-    out = I.clamped_offsets(F.col("t"), F.transform("t", lambda x: x + 2), F.array(F.lit(0), F.lit(0), F.lit(1), F.lit(1)), [0, 32], 8)
+    """Offsets of two chunks in a row, the halves of a speaker's steps, each start held to the end before."""
+    s = _steps(spark, folder).select("session_id", "speaker", "t")
+    half = F.concat(F.array_repeat(F.lit(0), F.ceil(F.size("t") / 2).cast("int")), F.array_repeat(F.lit(1), F.floor(F.size("t") / 2).cast("int")))
+    out = I.clamped_offsets(F.col("t"), F.transform("t", lambda x: x + 2), half, [0, 32], 8)
     return s.select("session_id", "speaker", out.alias("offsets"))
 
 
