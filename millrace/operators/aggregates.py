@@ -201,8 +201,11 @@ def hierarchical_weights(df: DataFrame, group: str, source: str, weight: str, te
     return inner.join(groups, group).select(group, source, (F.col("_in") * F.col("_out")).alias("weight"))
 
 
-def dense_histogram(df: DataFrame, value: str, most: int) -> DataFrame:
-    """Counts of the whole numbers from 0 to most, zeros included: value, n."""
+def dense_histogram(df: DataFrame, value: str, most: int | None = None) -> DataFrame:
+    """Counts of the whole numbers from 0 to most, else to the largest value, zeros included: value, n."""
+    if most is None:
+        largest = df.agg(F.max(value)).first()[0]
+        most = -1 if largest is None else max(int(largest), -1)
     counts = df.where(F.col(value).between(0, most)).groupBy(F.col(value).cast("int").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     return df.sparkSession.range(most + 1).select(F.col("id").cast("int").alias("value")).join(counts, "value", "left").na.fill(0, ["n"])
 
