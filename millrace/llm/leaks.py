@@ -91,7 +91,10 @@ def index_items(ids: list, texts: list[str]) -> Items:
 
 
 def _doc_codes(w: Words, items: Items) -> tuple[np.ndarray, np.ndarray]:
-    """The documents' words in the items' codes, plain and as templates; two unknown words in a row may be a name."""
+    """The documents' words in the items' codes, plain and as templates; two unknown words in a row may be a name.
+
+    A plain word that is in no item has a code of its own, above the items'.
+    """
     known = np.array([items.vocabulary.get(x, NONE) for x in w.words], np.int64)
     digit = np.array([x.isdigit() for x in w.words], bool)
     name = np.array([x in items.names for x in w.words], bool)
@@ -101,7 +104,8 @@ def _doc_codes(w: Words, items: Items) -> tuple[np.ndarray, np.ndarray]:
     both = new[1:] & new[:-1] & (w.doc[1:] == w.doc[:-1])
     pair[1:] |= both
     pair[:-1] |= both
-    return plain, _template(w.doc, w.code, is_digit, is_name | pair, plain)
+    own = np.where(plain == NONE, w.code + FIRST + len(items.vocabulary), plain)
+    return own, _template(w.doc, w.code, is_digit, is_name | pair, plain)
 
 
 def _candidates(w: Words, template: np.ndarray, items: Items) -> pd.DataFrame:
@@ -160,15 +164,21 @@ def _align(a: np.ndarray, ta: np.ndarray, b: np.ndarray, tb: np.ndarray) -> list
     return out[::-1]
 
 
-def _consistent(pairs: list[tuple[int, int, bool]], a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, bool]]:
-    """Drop slots whose filling isn't one-to-one: a value of the item must stand for one value of the document."""
-    there: dict[int, int] = {}
-    back: dict[int, int] = {}
+def _consistent(pairs: list[tuple[int, int, bool]], a: np.ndarray, ta: np.ndarray, b: np.ndarray) -> list[tuple[int, int, bool]]:
+    """Drop slots whose filling isn't one-to-one: a value of the item must stand for one value of the document.
+
+    Slots that hold the item's own value are kept and bind it; of others the first filling binds.
+    """
+    there = {int(a[i]): int(a[i]) for i, _, exact in pairs if exact and ta[i] < FIRST}
+    back = dict(there)
     out = []
     for i, j, exact in pairs:
         x, y = int(a[i]), int(b[j])
-        if exact or (y != NONE and there.setdefault(x, y) == y and back.setdefault(y, x) == x) or (y == NONE):
-            out.append((i, j, exact))
+        if not exact:
+            if there.get(x, y) != y or back.get(y, x) != x:
+                continue
+            there[x], back[y] = y, x
+        out.append((i, j, exact))
     return out
 
 
@@ -203,7 +213,7 @@ def find_in_batch(texts: list[str], items: Items, slack: float = 1.3) -> list[tu
             continue
         b, tb = plain[lo:hi], template[lo:hi]
         pairs = _align(a, ta, b, tb)
-        kept = _consistent(pairs, a, b)
+        kept = _consistent(pairs, a, ta, b)
         got = _stretch([p for p in pairs if p[2]], slack)[0], _stretch(kept, slack)[1]
         old = best.get((doc, item), (0, 0))
         best[doc, item] = max(old[0], got[0]), max(old[1], got[1])

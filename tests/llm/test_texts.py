@@ -139,3 +139,12 @@ def test_leaks(spark):
     assert got[10, 1]["template_words"] > got[10, 1]["equal_words"]
     assert leaked_items(df.where("false"), "doc_id", "text", items, "item_id", "text").count() == 0
     assert leaked_items(df, "doc_id", "text", items.where("false"), "item_id", "text").count() == 0
+
+
+def test_leaks_check_slots_one_to_one_for_unknown_values():
+    from millrace.llm.leaks import find_in_batch, index_items
+
+    item = "the box held 3 stones and the bag held 3 stones while the cart held 8 stones on the road"
+    docs = [item.replace("3", "17").replace("8", "92"), item.replace("3", "17", 1).replace("3", "92").replace("8", "55"), item.replace("8", "3"), item.replace("3", "17").replace("8", "17")]
+    got = {d: (e, t) for d, _, n, e, t in find_in_batch(docs, index_items([1], [item])) if n == 20}
+    assert got == {0: (17, 20), 1: (17, 19), 2: (19, 19), 3: (17, 19)}
