@@ -254,8 +254,15 @@ def edit_distance_words(a: str | Column, b: str | Column) -> Column:
     return let(both, lambda s: let(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.array_distinct(F.concat(s["x"], s["y"])).alias("v")), distance))
 
 
-def common_suffix_length(column: str | Column, limit: int = 100) -> Column:
-    """An aggregate: the longest suffix, up to limit characters, that all texts share."""
-    c = _c(column)
-    same = [F.when(F.min(F.right(c, F.lit(k))) == F.max(F.right(c, F.lit(k))), F.when(F.min(F.length(c)) >= k, k)) for k in range(1, limit + 1)]
-    return F.coalesce(F.greatest(F.lit(0), *same), F.lit(0))
+def common_suffix_length(column: str | Column, limit: int | None = None) -> Column:
+    """An aggregate: the length of the longest suffix, or of its last limit characters, that all texts share.
+
+    What the first and the last of the reversed texts begin with alike, all between them do.
+    """
+    turned = F.reverse(_c(column))
+    first, last = F.min(turned), F.max(turned)
+    start = F.struct(F.lit(0).alias("n"), F.lit(True).alias("on"))
+    pairs = F.arrays_zip(F.split(first, "").alias("a"), F.split(last, "").alias("b"))
+    step = lambda s, p: F.when(s["on"] & (p["a"] == p["b"]), F.struct((s["n"] + 1).alias("n"), F.lit(True).alias("on"))).otherwise(F.struct(s["n"].alias("n"), F.lit(False).alias("on")))
+    same = F.coalesce(F.least(F.aggregate(pairs, start, step)["n"], F.length(first)), F.lit(0))
+    return same if limit is None else F.least(same, F.lit(limit))
