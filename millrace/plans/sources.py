@@ -130,12 +130,12 @@ def q_kaldi_folder(spark, folder):
 
 @query("select session_id, speaker, start_time as start, end_time as end, round(end_time - start_time, 6) as duration from segment where session_id = 'ses_00000001' and start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time)")
 def q_seglst(spark, folder):
-    """Segments of a session from a JSON array."""
+    """Segments of a session from JSON arrays of whole sessions that hold the table."""
     s = table(spark, folder, "segment").where("start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time)")
     out = _folder(spark)
     row = F.struct("session_id", "speaker", F.col("start_time").cast("string").alias("start_time"), F.col("end_time").cast("string").alias("end_time"), "words")
-    for name in ("ses_00000001", "ses_00000002"):  # a file holds one session's array
-        s.where(F.col("session_id") == name).groupBy("session_id").agg(F.to_json(F.collect_list(row)).alias("value")).select("value").coalesce(1).write.mode("append").text(out)
+    files = s.count() // 20_000 + 1  # a file holds one array, of about so many rows
+    s.groupBy(F.pmod(F.xxhash64("session_id"), F.lit(files)).alias("part")).agg(F.to_json(F.collect_list(row)).alias("value")).write.partitionBy("part").text(out)
     return S.read_seglst(spark, out, "ses_00000001").select("session_id", "speaker", "start", "end", F.round("duration", 6).alias("duration"))
 
 
