@@ -73,10 +73,10 @@ def chunks(batches: Iterator[pd.DataFrame], text: str, size: int = 2_000_000) ->
 
 def word_stream(texts: list[str], headings: bool = True, numbers: bool = True, form: Callable[[str], str] = one_form) -> Words:
     """The words of texts (none null). Line openings are left out; headings and words of digits only if so told."""
-    whole = END.join(form(t.replace(END, " ")) for t in texts)
+    whole = f"\n{END}\n".join(form(t.replace(END, " ")) for t in texts)
     if not headings:
         whole = _HEADING.sub("", whole)
-    found = _WORD.findall(_OPENING.sub("", whole.replace(END, "\n\x00\n")))
+    found = _WORD.findall(_OPENING.sub("", whole))
     code, words = pd.factorize(np.array(found, dtype=object)) if found else (np.empty(0, np.int64), np.empty(0, object))
     ends = np.flatnonzero(np.array([w == END for w in words]))
     is_end = np.isin(code, ends) if len(ends) else np.zeros(len(code), bool)

@@ -148,3 +148,12 @@ def test_leaks_check_slots_one_to_one_for_unknown_values():
     docs = [item.replace("3", "17").replace("8", "92"), item.replace("3", "17", 1).replace("3", "92").replace("8", "55"), item.replace("8", "3"), item.replace("3", "17").replace("8", "17")]
     got = {d: (e, t) for d, _, n, e, t in find_in_batch(docs, index_items([1], [item])) if n == 20}
     assert got == {0: (17, 20), 1: (17, 19), 2: (19, 19), 3: (17, 19)}
+
+
+def test_headings_at_the_ends_of_documents_stay_within_them():
+    from millrace.llm.wordstream import word_stream
+
+    texts = ["alpha beta\n# Some heading", "gamma delta\nepsilon", "## Another heading\nzeta", "# Only a heading", "theta"]
+    w = word_stream(texts, headings=False)
+    got = [[w.words[c] for c, d in zip(w.code, w.doc, strict=True) if d == i] for i in range(len(texts))]
+    assert got == [["alpha", "beta"], ["gamma", "delta", "epsilon"], ["zeta"], [], ["theta"]]
