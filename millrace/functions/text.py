@@ -238,20 +238,30 @@ def find_tokens(text: str | Column, pattern: str) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(f"({pattern}|.)"), F.lit(1))
 
 
+#: How many distinct words a pair may have: as many as there are code points beside the surrogates and zero.
+MOST_DISTINCT = 0x10FFFF - 2048
+
+
 def edit_distance_words(a: str | Column, b: str | Column) -> Column:
     """The edit distance of two texts in words, without Python: each distinct word of a pair becomes one character.
 
-    Exact for pairs with up to 6,400 distinct words; null beyond, and where a text is null.
+    Exact at any length; null only where a text is null. A pair with over 1,112,063 distinct words is an error, as there
+    are no more characters.
     """
 
     def as_chars(ws: Column, words: Column) -> Column:
-        return F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.hex(F.lit(57343).cast("bigint") + F.array_position(words, w))), "UTF-16BE")), "")
+        places = F.transform(ws, lambda w: F.array_position(words, w).cast("int"))
+        points = F.transform(places, lambda p: F.lpad(F.hex(F.when(p < 0xD800, p).otherwise(p + 2048)), 8, "0"))
+        # The mark of the byte order comes first, so that a word's own character is never taken for one.
+        return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.array_join(points, ""))), "UTF-32")
 
     def distance(t: Column) -> Column:
-        return F.when(F.size(t["v"]) <= 6400, F.levenshtein(as_chars(t["x"], t["v"]), as_chars(t["y"], t["v"])))
+        too_many = F.raise_error(F.lit(f"a pair has more than {MOST_DISTINCT} distinct words")).cast("int")
+        return F.when(F.size(t["v"]) > MOST_DISTINCT, too_many).otherwise(F.levenshtein(as_chars(t["x"], t["v"]), as_chars(t["y"], t["v"])))
 
     both = F.struct(split_words(a).alias("x"), split_words(b).alias("y"))
-    return let(both, lambda s: let(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.array_distinct(F.concat(s["x"], s["y"])).alias("v")), distance))
+    found = let(both, lambda s: let(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.array_distinct(F.concat(s["x"], s["y"])).alias("v")), distance))
+    return F.when(_c(a).isNotNull() & _c(b).isNotNull(), found)
 
 
 def common_suffix_length(column: str | Column, limit: int | None = None) -> Column:

@@ -10,6 +10,29 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import with_position
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.001) -> DataFrame | None:
+    """The keys that hold over share of df's rows, at most 1 / share of them, or None where no key does."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    found = counts.where(F.col("_n") > share * total).select(*on).collect()
+    return df.sparkSession.createDataFrame(found, df.select(*on).schema) if found else None
+
+
+def join_skewed(left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """left joined with a right side that has each key once; rows of the hot keys (see hot_keys) meet it by broadcast.
+
+    Only the hot keys' rows of the right side are broadcast, so their number has the bound of hot_keys; the others are
+    shuffled on both sides, and no key among them holds more than the share. how is inner or left.
+    """
+    rest = right.hint("merge")  # by sorting, so that what is broadcast doesn't grow with the data
+    if hot is None:
+        return left.join(rest, list(on), how)
+    marked = left.join(F.broadcast(hot.select(*on, F.lit(True).alias("_hot"))), list(on), "left")
+    few = right.join(F.broadcast(hot.select(*on)), list(on), "left_semi")
+    done = marked.where("_hot").drop("_hot").join(F.broadcast(few), list(on), how)
+    return done.unionByName(marked.where("_hot is null").drop("_hot").join(rest, list(on), how))
+
+
 def member_stem(path: str | Column) -> Column:
     """The name under which a payload is found: '-subN' before the extension falls away."""
     c = F.col(path) if isinstance(path, str) else path
@@ -62,7 +85,8 @@ def zip_rows(left: DataFrame, left_order: Sequence[str], right: DataFrame, right
 def bounded_hash(n: int, *parts: Column | str | int) -> Column:
     """A number from 0 to n - 1 from the md5 of the parts; alike in any engine."""
     text = F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % n
+    # Fifteen digits of the md5, 60 bits, once eight no longer tell all rows of a side apart.
+    return F.conv(F.substring(F.md5(text), 1, 8 if n <= 1 << 31 else 15), 16, 10).cast("bigint") % n
 
 
 def sample_side(df: DataFrame, key: str, side: DataFrame, side_order: Sequence[str], seed: int) -> DataFrame:

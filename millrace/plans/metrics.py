@@ -61,6 +61,22 @@ def q_wer_pairs(spark, folder):
     return _pairs(spark, folder).select("record_id", e.cast("bigint").alias("errors"), n.cast("bigint").alias("size"))
 
 
+@query(f"""
+with w as (select doc_id, unnest({_words('text')}) as w, generate_subscripts({_words('text')}, 1) as p from documents)
+select doc_id, count(*) filter (where p % 2 = 0 or p % 11 = 0) as errors, count(*) as size from w group by 1
+""")
+def q_wer_long(spark, folder):
+    """Word errors of whole documents, every word being its own: each second one replaced, each eleventh left out.
+
+    As no word comes twice, the edits are the words that aren't there any more, whatever the length.
+    """
+    d = table(spark, folder, "documents").where("text is not null").select("doc_id", F.transform(T.split_words("text"), lambda w, i: F.concat(w, F.lit("#"), i.cast("string"))).alias("w")).where(F.size("w") > 0)
+    changed = F.filter(F.transform("w", lambda w, i: F.when((i + 1) % 11 == 0, "").when((i + 1) % 2 == 0, F.concat(F.lit("x"), w)).otherwise(w)), lambda w: w != "")
+    d = d.select("doc_id", F.array_join("w", " ").alias("ref"), F.array_join(changed, " ").alias("hyp"))
+    e, n = A.errors_and_size("hyp", "ref")
+    return d.select("doc_id", e.cast("bigint").alias("errors"), n.cast("bigint").alias("size"))
+
+
 @query(f"{WORD_PAIRS} select model_tag, source, sum(e)::bigint as errors, sum(n)::bigint as size, round(sum(e) / sum(n), 9) as rate from e group by grouping sets ((), (model_tag), (source)) having sum(n) > 0")
 def q_wer_by_attribute(spark, folder):
     """Word error rate overall, by model and by source, in one scan."""
@@ -236,10 +252,10 @@ def q_rollup_sizes(spark, folder):
     return table(spark, folder, "documents").rollup("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query(f"with n as (select len({_words(chr(39) + chr(39) + ' || text')}) as n from documents where text is not null) select v::int as value, count(n.n) as n from range(0, 401) t(v) left join n on n.n = v group by 1")
+@query(f"with n as (select len({_words(chr(39) + chr(39) + ' || text')}) as n from documents where text is not null) select v::int as value, count(n.n) as n from range(0, (select max(n) + 1 from n)) t(v) left join n on n.n = v group by 1")
 def q_len_histogram(spark, folder):
     """Documents by words, zeros included."""
-    return A.dense_histogram(table(spark, folder, "documents").where("text is not null").select(T.count_words("text").alias("w")), "w", 400)
+    return A.dense_histogram(table(spark, folder, "documents").where("text is not null").select(T.count_words("text").alias("w")), "w")
 
 
 @query("with r as (select n_chars, row_number() over (order by n_chars) as r, count(*) over () as n from documents where n_chars is not null) select n_chars as value from r where r = ceil(0.995 * n)")

@@ -519,25 +519,27 @@ def q_merged_manifest(spark, folder):
 
 
 @query(f"""
-with s as {STEPS}, x as (select session_id, list_transform(t[1:4], lambda v: v - 3) as a, t[2:5] as b from s where len(t) >= 5),
-u as (select session_id, case when a[1] < 0 then list_transform(a, lambda v: v - a[1]) else a end as a, b from x)
-select session_id, list_concat(a, case when b[1] - a[len(a)] <= 0 then list_transform(b, lambda v: v + abs(b[1] - a[len(a)]) + 1) else b end) as steps from u
+with s as {STEPS}, x as (select session_id, speaker, list_transform(t[1 : (len(t) + 1) // 2], lambda v: v - 3) as a, t[len(t) // 2 + 1 : len(t)] as b from s),
+u as (select session_id, speaker, case when a[1] < 0 then list_transform(a, lambda v: v - a[1]) else a end as a, b from x)
+select session_id, speaker, list_concat(a, case when b[1] - a[len(a)] <= 0 then list_transform(b, lambda v: v + abs(b[1] - a[len(a)]) + 1) else b end) as steps from u
 """)
 def q_merge_timesteps(spark, folder):
-    """Time steps of two buffers as one rising array."""
-    s = _steps(spark, folder).where(F.size("t") >= 5)
-    a, b = F.transform(F.slice("t", 1, 4), lambda v: v - 3), F.slice("t", 2, 4)
-    return s.select("session_id", I.merged_steps(a, b).alias("steps"))
+    """Time steps of two buffers, the halves of a speaker's steps (the middle one in both), as one rising array."""
+    s = _steps(spark, folder)
+    half = F.floor((F.size("t") + 1) / 2).cast("int")
+    a, b = F.transform(F.slice("t", F.lit(1), half), lambda v: v - 3), F.slice("t", F.size("t") - half + 1, half)
+    return s.select("session_id", "speaker", I.merged_steps(a, b).alias("steps"))
 
 
 @query(f"""
-with s as (select item_id, list_transform({_words('text')}, lambda w: length(w)) as v from eval_items), x as (select item_id, v[1:6] as a, v[4:9] as b from s where len(v) >= 9)
-select item_id, coalesce(list_max(list_filter(range(1, 5), lambda k: a[6 - k + 1 : 6] = b[1 : k])), 0)::int as overlap from x
+with s as (select doc_id, list_transform({_words('text')}, lambda w: length(w)) as v from documents where text is not null), x as (select doc_id, v[1 : len(v) * 2 // 3] as a, v[len(v) // 3 + 1 : len(v)] as b from s)
+select doc_id, coalesce(list_max(list_filter(range(1, 1 + least(8, len(a), len(b))), lambda k: a[len(a) - k + 1 : len(a)] = b[1 : k])), 0)::int as overlap from x
 """)
 def q_overlap_length(spark, folder):
-    """The longest end of one array with which the next begins."""
-    s = table(spark, folder, "eval_items").select("item_id", F.transform(T.split_words("text"), lambda w: F.length(w)).alias("v")).where(F.size("v") >= 9)
-    return s.select("item_id", I.overlap_length(F.slice("v", 1, 6), F.slice("v", 4, 6), 4).alias("overlap"))
+    """The longest end, up to eight places, of a document's first two thirds with which its last two thirds begin."""
+    s = table(spark, folder, "documents").where("text is not null").select("doc_id", F.transform(T.split_words("text"), lambda w: F.length(w)).alias("v"))
+    a, b = F.slice("v", F.lit(1), F.floor(F.size("v") * 2 / 3).cast("int")), F.slice("v", F.floor(F.size("v") / 3).cast("int") + 1, F.size("v"))
+    return s.select("doc_id", I.overlap_length(a, b, 8).alias("overlap"))
 
 
 @query(f"""

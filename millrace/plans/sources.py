@@ -36,7 +36,7 @@ def q_manifest_scan(spark, folder):
     """The manifest as lines, scanned with ordinals and resolved aliases."""
     rows = table(spark, folder, "manifest_entries").where(~F.coalesce(F.isnan("duration"), F.lit(False))).select("entry_id", "audio_filepath", "text", F.coalesce("duration", F.lit(0.0)).alias("duration"), "lang")
     out = _folder(spark)
-    M.write_manifest(rows.orderBy("entry_id").coalesce(1).drop("entry_id"), out)
+    M.write_manifest(rows.orderBy("entry_id").drop("entry_id"), out)
     return M.canonical(M.scan_lines(spark, out)).select("id", "audio_file", "text", "duration", "lang")
 
 
@@ -89,8 +89,8 @@ def q_read_csv(spark, folder):
 def q_text_pairs(spark, folder):
     """Lines of two files side by side."""
     a, b = _folder(spark), _folder(spark)
-    table(spark, folder, "eval_items").orderBy("item_id").coalesce(1).select("text").write.text(a)
-    table(spark, folder, "nation").orderBy("n_nationkey").coalesce(1).select("n_name").write.text(b)
+    table(spark, folder, "eval_items").orderBy("item_id").select("text").write.text(a)
+    table(spark, folder, "nation").orderBy("n_nationkey").select("n_name").write.text(b)
     return S.read_text_pairs(spark, a, b)
 
 
@@ -128,15 +128,15 @@ def q_kaldi_folder(spark, folder):
     return S.read_kaldi(spark, out)
 
 
-@query("select session_id, speaker, start_time as start, end_time as end, round(end_time - start_time, 6) as duration from segment where session_id = 'ses_00000001' and start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time)")
+@query("select session_id, speaker, start_time as start, end_time as end, round(end_time - start_time, 6) as duration from segment where start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time)")
 def q_seglst(spark, folder):
-    """Segments of a session from JSON arrays of whole sessions that hold the table."""
+    """Segments of all sessions, from JSON arrays of whole sessions."""
     s = table(spark, folder, "segment").where("start_time is not null and end_time is not null and not isnan(start_time) and not isnan(end_time)")
     out = _folder(spark)
     row = F.struct("session_id", "speaker", F.col("start_time").cast("string").alias("start_time"), F.col("end_time").cast("string").alias("end_time"), "words")
     files = s.count() // 20_000 + 1  # a file holds one array, of about so many rows
     s.groupBy(F.pmod(F.xxhash64("session_id"), F.lit(files)).alias("part")).agg(F.to_json(F.collect_list(row)).alias("value")).write.partitionBy("part").text(out)
-    return S.read_seglst(spark, out, "ses_00000001").select("session_id", "speaker", "start", "end", F.round("duration", 6).alias("duration"))
+    return S.read_seglst(spark, out).select("session_id", "speaker", "start", "end", F.round("duration", 6).alias("duration"))
 
 
 @query(f"with x as (select session_id, list_sort({_words('words')}) as w, segment_id from segment where words is not null) select count(*) as n, sum(len(w))::bigint as words from x where len(w) > 0")

@@ -161,11 +161,14 @@ SQL["q_template"] = "select record_id, coalesce(model_tag, '') || ' #' || coales
 
 def q_common_suffix(spark: SparkSession, folder: str) -> DataFrame:
     """The longest common suffix of each source's file names."""
-    return table(spark, folder, "manifest_entries").groupBy("source").agg(T.common_suffix_length("audio_filepath", 12).cast("bigint").alias("n"))
+    return table(spark, folder, "manifest_entries").groupBy("source").agg(T.common_suffix_length("audio_filepath").cast("bigint").alias("n"))
 
 
 QUERIES["q_common_suffix"] = q_common_suffix
-SQL["q_common_suffix"] = "select source, cast(greatest(0, " + ", ".join(f"case when min(right(audio_filepath, {k})) = max(right(audio_filepath, {k})) and min(length(audio_filepath)) >= {k} then {k} else 0 end" for k in range(1, 13)) + ") as bigint) as n from manifest_entries group by source"
+SQL["q_common_suffix"] = """
+with m as (select source, min(reverse(audio_filepath)) as a, max(reverse(audio_filepath)) as b from manifest_entries group by source)
+select source, coalesce(list_max(list_filter(range(0, least(length(a), length(b)) + 1), lambda k: a[1:k] = b[1:k])), 0)::bigint as n from m
+"""
 
 
 def q_lower_normalized(spark: SparkSession, folder: str) -> DataFrame:

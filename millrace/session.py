@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,8 @@ def local_session(name: str = "millrace", cores: int | str = "*", partitions: in
 
 #: The folders of local sessions without the setting, by application.
 _own: dict[str, str] = {}
+#: Paths given out since the block of scratch began.
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,13 +60,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; what is written there goes when the application ends."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _gone_at_exit(spark, path)
+    _made.append(path)
     return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The table goes when the application ends.
+    The table goes when the application ends, or with the block of scratch it is made in.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
@@ -70,6 +75,23 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the tables staged in it; what is made of them must be written by then.
+
+    A session that runs many queries wraps each in a block of its own, so that their intermediate tables don't pile up.
+    """
+    outer = list(_made)
+    _made.clear()
+    try:
+        yield
+    finally:
+        for path in _made:
+            there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+        _made[:] = outer
+
+
 def shuffle_parts(df: DataFrame) -> int:
     """The number of shuffle partitions of the session."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
