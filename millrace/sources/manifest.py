@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.joins import last_by_key
+from millrace.operators.joins import bounded_hash, last_by_key
 from millrace.operators.ordered import with_position
+from millrace.session import stage
 
 # The keys under which a manifest may hold each field, first match first.
 ALIASES = {
@@ -48,6 +52,98 @@ def parse_lines(lines: DataFrame, schema: str, bad_records: str = "error_at_end"
     return parsed.select("ordinal", "file", *[F.col(f"_row.{n}").alias(n) for n in names])
 
 
+#: Line parsers by name: each makes a struct column of the line and the file it is in; register_parser adds to them.
+PARSERS: dict[str, Callable[[Column, Column, str], Column]] = {"json": lambda line, file, schema: F.from_json(line, schema)}
+
+
+def register_parser(name: str, parse: Callable[[Column, Column, str], Column]) -> None:
+    """Make a parser known: a function of the line, its file and the schema that gives a struct, null for a bad line."""
+    PARSERS[name] = parse
+
+
+def python_parser(parse: Callable[[str, str], dict]) -> Callable[[Column, Column, str], Column]:
+    """A parser from a Python function of a line and its file; a ValueError (as of bad JSON) marks a bad line."""
+
+    def make(line: Column, file: Column, schema: str) -> Column:
+        kind = T.StructType.fromDDL(schema)
+
+        def run(lines: pd.Series, files: pd.Series) -> pd.Series:
+            out = []
+            for x, f in zip(lines, files, strict=True):
+                try:
+                    got = parse(x, f)
+                    out.append(json.dumps({k: got.get(k) for k in kind.names}))
+                except ValueError:
+                    out.append(None)
+            return pd.Series(out, dtype=object)
+
+        return F.from_json(F.pandas_udf(run, T.StringType())(line, file), schema)
+
+    return make
+
+
+def items(spark: SparkSession, paths: str | Sequence[str], schema: str, parse: str | Callable[[Column, Column, str], Column] = "json", bad_records: str = "error_at_end") -> DataFrame:
+    """Lines as rows of the schema by a parser, given or registered, with their running id over all lines.
+
+    bad_records is 'drop', 'keep' (null columns) or 'error_at_end', which names the number of bad lines and the first.
+    """
+    made = PARSERS[parse] if isinstance(parse, str) else parse
+    rows = stage(scan_lines(spark, paths).withColumn("_r", made(F.col("line"), F.col("file"), schema)), "items")  # parsed once
+    bad = F.col("_r").isNull()
+    if bad_records == "error_at_end":
+        found = rows.where(bad).agg(F.count(F.lit(1)).alias("n"), F.min_by("line", "ordinal").alias("line")).first()
+        if found["n"]:
+            raise ValueError(f"{found['n']} lines can't be parsed, the first: {found['line'][:200]!r}")
+    if bad_records == "drop":
+        rows = rows.where(~bad)
+    return rows.select(F.col("ordinal").alias("id"), *[F.col(f"_r.{n}").alias(n) for n in T.StructType.fromDDL(schema).names])
+
+
+#: Kinds of extra fields: each attaches a column of a name to rows in order; register_extra_field adds to them.
+EXTRA_FIELDS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def register_extra_field(kind: str) -> Callable:
+    def add(attach: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        EXTRA_FIELDS[kind] = attach
+        return attach
+
+    return add
+
+
+@register_extra_field("text_iter")
+def _lines_in_turn(df: DataFrame, order: Sequence[str], name: str, path: str, seed: int | str | None = None) -> DataFrame:
+    """Each row gets the line at its place; too few lines are an error."""
+    side = scan_lines(df.sparkSession, path).select(F.col("ordinal").alias("_side"), F.trim("line").alias(name))
+    placed = with_position(df, order, "_side")
+    if side.count() < placed.count():
+        raise ValueError(f"there aren't enough lines in {path} for the field {name}")
+    return placed.join(side, "_side").drop("_side")
+
+
+@register_extra_field("text_sample")
+def _line_by_hash(df: DataFrame, order: Sequence[str], name: str, path: str, seed: int | str = 0) -> DataFrame:
+    """Each row gets a line that the hash of its order and the seed picks."""
+    side = stage(scan_lines(df.sparkSession, path).select(F.col("ordinal").alias("_side"), F.trim("line").alias(name)), "lines")
+    n = side.count()
+    if not n:
+        raise ValueError(f"{path} has no lines for the field {name}")
+    key = F.concat_ws("/", *[F.col(c).cast("string") for c in order])
+    return df.withColumn("_side", bounded_hash(n, key, str(seed))).join(side, "_side").drop("_side")
+
+
+def with_extra_fields(df: DataFrame, order: Sequence[str], fields: Sequence[Mapping]) -> DataFrame:
+    """df with extra fields, each given as a mapping of type, name and what the type asks for (path, seed)."""
+    for f in fields:
+        if f.get("type") not in EXTRA_FIELDS:
+            raise ValueError(f"no such extra field: {f!r}; there are {sorted(EXTRA_FIELDS)}")
+        if "name" not in f:
+            raise ValueError(f"an extra field needs a name: {f!r}")
+    for f in fields:
+        df = EXTRA_FIELDS[f["type"]](df, order, **{k: v for k, v in f.items() if k != "type"})
+    return df
+
+
 def canonical(lines: DataFrame, bad_records: str = "error_at_end") -> DataFrame:
     """Manifest lines as rows of the canonical fields: id, file, those of ALIASES and PLAIN.
 
