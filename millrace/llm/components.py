@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import hot_keys, join_skewed
 from millrace.session import stage
 
 SMALL_EDGES = 50_000
@@ -36,7 +37,7 @@ def _union_small(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(found, columns=["node", "root"]).astype({"node": "object", "root": "object"})
 
 
-def components(edges: DataFrame, src: str, dst: str, hops: int = 3, small_edges: int = SMALL_EDGES, chunk: int = 10_000) -> DataFrame:
+def components(edges: DataFrame, src: str, dst: str, hops: int = 3, small_edges: int = SMALL_EDGES, chunk: int = 10_000, share: float = 0.001) -> DataFrame:
     """Every node (string) that has an edge to another, with its component's root: columns node, root.
 
     Edges count in both directions; null ends and loops are left out; repeated edges change nothing.
@@ -46,6 +47,9 @@ def components(edges: DataFrame, src: str, dst: str, hops: int = 3, small_edges:
     different labels are the collisions; they make a smaller graph that is solved the same way, and by union-find in one
     task once it has at most small_edges edges (a bound on that task, not on the input). Each round at least merges all
     neighbours of seeds, so the rounds end.
+
+    No join gathers a hub or a giant component: nodes with over share of the edges' ends, and roots with over share of
+    the nodes, 1 / share of either at most, meet their edges and nodes by broadcast.
     """
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null and a <> b")
     e = e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
@@ -55,41 +59,44 @@ def components(edges: DataFrame, src: str, dst: str, hops: int = 3, small_edges:
         n = e.count()
         if n <= small_edges:
             last = e.select(F.xxhash64("a").alias("ha"), "a", F.xxhash64("b").alias("hb"), "b").coalesce(1).mapInPandas(_union_small, "node string, root string")
-            return _follow(labels, last)
-        step = _grow(e, hops, chunk)
-        near = step.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        far = step.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        moved = e.join(near, "a").join(far, "b").where("ra <> rb")
-        e = stage(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"), "edges")
-        labels = step if labels is None else stage(_follow(labels, step), "labels")
-
-
-def _follow(labels: DataFrame | None, step: DataFrame) -> DataFrame:
+            return last if labels is None else _follow(labels, stage(last, "labels"), share)
+        step, hubs = _grow(e, n, hops, chunk, share)
+        near, far = (step.select(F.col("node").alias(k), F.col("root").alias(f"r{k}")) for k in ("a", "b"))
+        moved = e
+        for k, side in (("a", near), ("b", far)):
+            moved = join_skewed(moved, side, [k], hubs and hubs.withColumnRenamed("a", k))
+        moved = moved.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+        e = stage(moved.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"), "edges")
+        labels = step if labels is None else stage(_follow(labels, step, share), "labels")
+
+
+def _follow(labels: DataFrame, step: DataFrame, share: float) -> DataFrame:
     """Labels of the first graph, led on by those of the next."""
-    if labels is None:
-        return step
     on = step.select(F.col("node").alias("root"), F.col("root").alias("_next"))
-    return labels.join(on, "root", "left").select("node", F.coalesce("_next", "root").alias("root"))
+    return join_skewed(labels, on, ["root"], hot_keys(labels, ["root"], share), "left").select("node", F.coalesce("_next", "root").alias("root"))
 
 
-def _grow(e: DataFrame, hops: int, chunk: int) -> DataFrame:
-    """One round: seeds, their growth for some hops, and every other node under its own label."""
+def _grow(e: DataFrame, edges: int, hops: int, chunk: int, share: float) -> tuple[DataFrame, DataFrame | None]:
+    """One round: seeds, their growth for some hops, and every other node under its own label; and the largest hubs, or None."""
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("_deg"), F.min(_order("b")).alias("_first"))
-    degree = stage(degree.select("a", F.ceil(F.col("_deg") / chunk).cast("int").alias("_cuts"), (_order("a") < F.col("_first")).alias("_seed")), "degrees")
+    degree = stage(degree.select("a", "_deg", F.ceil(F.col("_deg") / chunk).cast("int").alias("_cuts"), (_order("a") < F.col("_first")).alias("_seed")), "degrees")
+    top = degree.where(F.col("_deg") > 2 * share * edges).select("a").collect()  # 1 / share rows at most
+    top = e.sparkSession.createDataFrame(top, "a string") if top else None
     hubs = degree.where("_cuts > 1").select("a", "_cuts")  # at most 2 * edges / chunk rows, each with over chunk neighbours
-    adj = both.join(hubs, "a", "left").withColumn("_cut", F.when(F.col("_cuts").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.col("_cuts"))).cast("int")).select("a", "_cut", "b")
+    cut = F.when(F.col("_cuts") > 1, F.pmod(F.xxhash64("b"), F.col("_cuts"))).otherwise(0).cast("int")
+    adj = join_skewed(both, degree.select("a", "_cuts"), ["a"], top).select("a", cut.alias("_cut"), "b")
     adj = stage(adj, "adjacency")
     seen = degree.where("_seed").select(F.col("a").alias("node"), F.col("a").alias("root"))
     frontier = seen
     for hop in range(hops):
-        out = frontier.join(degree.select(F.col("a").alias("node"), "_cuts"), "node") if hop == 0 else frontier.join(hubs.select(F.col("a").alias("node"), "_cuts"), "node", "left")
+        out = frontier.join(degree.select(F.col("a").alias("node"), "_cuts").hint("merge"), "node") if hop == 0 else frontier.join(hubs.select(F.col("a").alias("node"), "_cuts"), "node", "left")
         out = out.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.coalesce("_cuts", F.lit(1)) - 1))).select(F.col("node").alias("a"), "_cut", "root")
         reached = adj.join(out, ["a", "_cut"]).groupBy(F.col("b").alias("node")).agg(F.min(_order("root")).alias("_r"))
         frontier = stage(reached.select("node", F.col("_r.n").alias("root")).join(seen, "node", "left_anti"), "frontier")
         seen = seen.unionByName(frontier)
     rest = degree.select(F.col("a").alias("node")).join(seen, "node", "left_anti").select("node", F.col("node").alias("root"))
-    return stage(seen.unionByName(rest), "labels")
+    return stage(seen.unionByName(rest), "labels"), top
 
 
 def linked_keys(df: DataFrame, a: str, b: str, weight_name: str = "weight") -> DataFrame:
