@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_skewed
+from millrace.operators.ordered import running_sum
 from millrace.session import stage
 
 CELLS = 4096
@@ -20,11 +22,15 @@ def source_key(source: str) -> Column:
 def without_superseded(df: DataFrame, ident: str, key: str, order: list[str], size: str) -> DataFrame:
     """df with a null size in rows whose key was delivered again later by order, so that no entry is used under two ids.
 
-    A null key is a key of its own. The last row of a key is found by an aggregate that reduces before the shuffle.
+    A null key is a key of its own. The last row of a key is found by an aggregate that reduces before the shuffle, and
+    meets its rows by broadcast if the key holds over a thousandth of the rows.
     """
     keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0"), F.col(ident).cast("string"))))
-    last = keyed.groupBy("_key").agg(F.max_by(ident, F.struct(*order, ident)).alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", "_last")
-    met = keyed.join(last, "_key", "left")
+    last = keyed.groupBy("_key").agg(F.max_by(ident, F.struct(*order, ident)).alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    last = stage(last, "deliveries")
+    hot = last.where(F.col("_n") > 0.001 * df.count()).select("_key").collect()  # a thousand rows at most
+    hot = df.sparkSession.createDataFrame(hot, "_key string") if hot else None
+    met = join_skewed(keyed, last.select("_key", "_last"), ["_key"], hot, "left")
     return met.withColumn(size, F.when(F.col("_last").isNull() | (F.col("_last") == F.col(ident)), F.col(size))).select(*df.columns)
 
 
@@ -54,7 +60,8 @@ def mix_entries(df: DataFrame, targets: DataFrame, ident: str, source: str, size
     source's expected size is its quota. The whole part is given for certain. The fractions are the inclusion
     probabilities p of a Pareto order sample: entries are ranked by (u / (1 - u)) / (p / (1 - p)), u drawn from the hash
     of ident and seed, and the first are taken until the quota is met; the entry at the cut is taken if that comes
-    nearer. The rank is cut in cells; only the cell where the quota is met is sorted, so no source meets in one task.
+    nearer. The rank is cut in cells; only the cell where the quota is met is sorted, over range partitions, so no source
+    and no cell meets in one task. What is broadcast has a row per source, weight level or range partition.
 
     First result: ident, source, copies. Second: source, target_share, scaled_share, max_repeats, entries, available, quota, used_entries,
     reached, actual_share. An empty table gives no entries and shares of null.
@@ -84,9 +91,9 @@ def mix_entries(df: DataFrame, targets: DataFrame, ident: str, source: str, size
     x = x.join(F.broadcast(cut), "source", "left")
     taken = F.when(F.col("_q").isNull() | F.col("_cut").isNull(), 0).when(F.col("_cell") < F.col("_cut"), 1).when(F.col("_cell") > F.col("_cut"), 0)
     x = stage(x.select("_id", "source", "_size", "_whole", "_q", "_need", taken.alias("_extra")), "sampled")
-    edge = x.where("_extra is null")
-    chosen = edge.groupBy("source").applyInPandas(_edge, f"_id {dict(df.dtypes)[ident]}, source string, _add int")
-    rest = edge.select("_id", "source", "_size", "_whole").join(F.broadcast(chosen), ["_id", "source"]).select("_id", "source", "_size", (F.col("_whole") + F.col("_add")).alias("copies"))
+    # The cells at the cuts: a running sum by rank over range partitions, so a cell may hold any number of rows.
+    edge = running_sum(x.where("_extra is null").drop("_extra"), ["source"], ["_q", "_id"], "_size", "_upto")
+    rest = edge.select("_id", "source", "_size", (F.col("_whole") + (F.col("_upto") - F.col("_size") / 2 <= F.col("_need")).cast("int")).alias("copies"))
     sure = x.where("_extra is not null").select("_id", "source", "_size", (F.col("_whole") + F.col("_extra")).alias("copies"))
     picked = stage(sure.unionByName(rest), "picked")
     unused = rows.join(F.broadcast(names.withColumn("_t", F.lit(True))), "source", "left").where("_size is null or _t is null").select("_id", "source", F.lit(None).cast("double").alias("_size"), F.lit(0).alias("copies"))
@@ -130,10 +137,3 @@ def _cuts(cells: pd.DataFrame) -> pd.DataFrame:
         else:
             out.append((source, int(own["_cell"].iloc[-1]) + 1, 0.0))
     return pd.DataFrame(out, columns=["source", "_cut", "_need"]).astype({"_cut": "int32"})
-
-
-def _edge(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Within the one cell of a source: take by rank until the need is met, the last only if that comes nearer."""
-    pdf = pdf.sort_values(["_q", "_id"], kind="stable")
-    upto, need = pdf["_size"].cumsum(), pdf["_need"].iloc[0]
-    return pd.DataFrame({"_id": pdf["_id"], "source": pdf["source"], "_add": (upto - pdf["_size"] / 2 <= need).astype("int32")})
