@@ -12,7 +12,7 @@ from millrace.llm.packing import pack_documents, token_count
 from millrace.llm.ranking import Score, borda_ranking
 from millrace.llm.repetition import depleted_documents, repeated_share
 from millrace.llm.skeleton import lookalike_pairs, with_skeleton
-from millrace.llm.splitting import speakers_together, split_entries
+from millrace.llm.splitting import speaker_classes, speakers_together, split_entries
 from millrace.plans.tables import table
 from millrace.session import stage
 
@@ -51,12 +51,20 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return speakers_together(table(spark, folder, "manifest_entries"))
 
 
-P2_SQL = r"""
+def p2_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stored speaker value with the class of values that must share a split."""
+    return speaker_classes(table(spark, folder, "manifest_entries"))
+
+
+_SAME = r"""
 with recursive v as (select distinct speaker, lower(regexp_replace(speaker, '[^\p{L}\p{N}]', '', 'g')) as k from manifest_entries where speaker is not null),
 n as (select distinct lower(regexp_replace(speaker, '[^\p{L}\p{N}]', '', 'g')) as k, regexp_extract(lower(audio_filepath), 'rec([0-9]{8})', 1) as r from manifest_entries where speaker is not null),
 link as (select distinct a.k as x, b.k as y from n a join n b on a.r = b.r where a.r <> '' and a.k not in ('', 'unknown') and b.k not in ('', 'unknown')),
 reach as (select x, y from link union select reach.x, link.y from reach join link on reach.y = link.x),
 same as (select x, y from reach union select k, k from v where k not in ('', 'unknown'))
+"""
+P2_CLASSES_SQL = f"{_SAME} select a.speaker as speaker, min(b.speaker) as class_id, count(*) as members from same join v a on a.k = same.x join v b on b.k = same.y group by 1"
+P2_SQL = f"""{_SAME}
 select a.speaker as speaker_a, b.speaker as speaker_b from same join v a on a.k = same.x join v b on b.k = same.y where a.speaker < b.speaker
 """
 
@@ -116,15 +124,15 @@ def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
     return p5_found(spark, folder).groupBy("defect").agg(F.count(F.lit(1)).alias("answers"))
 
 
+def _packs(spark: SparkSession, folder: str, fit: str = "shortest") -> DataFrame:
+    sizes = stage(table(spark, folder, "documents").select("doc_id", token_count("text").alias("tokens")), "tokens")
+    capacities = [(r[0], r[1]) for r in table(spark, folder, "pack_sizes").select("pack_name", "capacity_tokens").orderBy("pack_name").collect()]  # a fixed table of 3 rows
+    return pack_documents(sizes, "doc_id", "tokens", capacities, fit)
+
+
 def p7_packs(spark: SparkSession, folder: str) -> DataFrame:
     """Every document, by tokens, in packs of each capacity of pack_sizes."""
-    docs = table(spark, folder, "documents").select("doc_id", token_count("text").alias("tokens"))
-    sizes = stage(docs, "tokens")
-    packs = None
-    for r in table(spark, folder, "pack_sizes").select("pack_name", "capacity_tokens").orderBy("pack_name").collect():  # a fixed table of 3 rows
-        part = pack_documents(sizes, "doc_id", "tokens", r[1], r[0])
-        packs = part if packs is None else packs.unionByName(part)
-    return packs
+    return _packs(spark, folder)
 
 
 def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,8 +178,8 @@ def p9_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_ranking": p1_ranking, "p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p3_mix": p3_mix, "p3_shares": p3_shares,
+    "p1_ranking": p1_ranking, "p2_found": p2_found, "p2_classes": p2_classes, "p2_split": p2_split, "p2_shares": p2_shares, "p3_mix": p3_mix, "p3_shares": p3_shares,
     "p4_found": p4_found, "p4_one_form": p4_one_form, "p5_found": p5_found, "p5_counts": p5_counts, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
     "p9_found": p9_found, "p9_share": p9_share, "p9_recurring_lines": p9_recurring_lines,
 }
-SQL = {"p1_ranking": P1_SQL, "p2_found": P2_SQL, "p9_recurring_lines": P9_LINES_SQL}
+SQL = {"p1_ranking": P1_SQL, "p2_found": P2_SQL, "p2_classes": P2_CLASSES_SQL, "p9_recurring_lines": P9_LINES_SQL}

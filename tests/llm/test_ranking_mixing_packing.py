@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from millrace.llm.mixing import mix_entries, without_superseded
-from millrace.llm.packing import pack_documents, shortest_pack_first, token_count
+from millrace.llm.packing import pack_documents, pack_lengths, token_count
 from millrace.llm.ranking import Score, borda_ranking
 
 NAN = float("nan")
@@ -109,12 +109,33 @@ def test_pareto_sample_follows_the_weights(spark):
     assert abs(used[4.0] / used[1.0] - 4) < 0.35
 
 
+def _item_by_item(hist, cap, fit):
+    """What each pack holds when items are placed one at a time, the longest first."""
+    packs = []
+    for x in sorted(Counter(hist).elements(), reverse=True):
+        fits = [i for i, used in enumerate(packs) if used + x <= cap]
+        if fit == "shortest" and packs and min(packs) + x <= cap:
+            packs[packs.index(min(packs))] += x
+        elif fit == "best" and fits:
+            packs[max(fits, key=lambda i: packs[i])] += x
+        else:
+            packs.append(x)
+    return packs
+
+
+def test_most_room_first_takes_another_pack_than_best_fit():
+    assert sorted(p for p, _ in pack_lengths({6: 1, 5: 1, 2: 1}, 10)) == [((5, 1), (2, 1)), ((6, 1),)]
+    assert sorted(p for p, _ in pack_lengths({6: 1, 5: 1, 2: 1}, 10, "best")) == [((5, 1),), ((6, 1), (2, 1))]
+
+
 def test_shortest_pack_first_keeps_every_item():
     rng = random.Random(5)
     for _ in range(60):
         cap = rng.randrange(4, 60)
         hist = Counter(rng.randrange(1, cap + 1) for _ in range(rng.randrange(0, 300)))
-        patterns = shortest_pack_first(dict(hist), cap)
+        fit = rng.choice(["shortest", "best"])
+        patterns = pack_lengths(dict(hist), cap, fit)
+        assert sorted(_item_by_item(hist, cap, fit)) == sorted(sum(length * per for length, per in p) for p, n in patterns for _ in range(n))
         seen = Counter()
         for p, n in patterns:
             assert sum(length * per for length, per in p) <= cap
@@ -124,14 +145,17 @@ def test_shortest_pack_first_keeps_every_item():
         used = sum(k * v for k, v in hist.items())
         assert sum(n for _, n in patterns) <= 2 * math.ceil(used / cap) + 1
     with pytest.raises(ValueError):
-        shortest_pack_first({5: 1}, 4)
+        pack_lengths({5: 1}, 4)
 
 
 def test_documents_are_whole_and_ranked_in_cells(spark):
     rng = random.Random(6)
     rows = [(i, rng.choice([7, 7, 7, rng.randrange(0, 40), 137, None]), "x") for i in range(3000)] + [(None, 5, "x"), (1, 7, "x")]
     df = spark.createDataFrame(rows, "id long, n long, pack string")
-    got = pack_documents(df, "id", "n", 32, "t", cell_rows=100).toPandas()
+    both = pack_documents(df, "id", "n", [("t", 32), ("u", 50)], cell_rows=100).toPandas()
+    other = both[both["pack_name"] == "u"]
+    assert other.groupby("pack")["size"].sum().max() <= 50 and not other.duplicated(["pack", "slot"]).any() and other["size"].sum() == both[both["pack_name"] == "t"]["size"].sum()
+    got = both[both["pack_name"] == "t"]
     assert got.groupby("pack")["size"].sum().max() <= 32 and not got.duplicated(["pack", "slot"]).any()
     want = Counter(i for i, n, _ in rows if i is not None and n and n > 0 for _ in range(-(-n // 32)))
     assert Counter(got["id"]) == want
@@ -140,7 +164,7 @@ def test_documents_are_whole_and_ranked_in_cells(spark):
     assert set(got[got["id"].isin(fits)]["piece"]) == {0}
     filled = got["size"].sum() / (got["pack"].nunique() * 32)
     assert filled > 0.97
-    assert pack_documents(df.where("false"), "id", "n", 32, "t").count() == 0
+    assert pack_documents(df.where("false"), "id", "n", [("t", 32)]).count() == 0
 
 
 def test_token_count(spark):
