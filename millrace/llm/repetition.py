@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.wordstream import chunks, word_stream
+from millrace.operators.joins import join_skewed
+from millrace.session import stage
 
 SHINGLE = 5
 
@@ -68,7 +70,7 @@ def repeated_share(df: DataFrame, ident: str, text: str, size: int = SHINGLE) ->
 
 
 def _line_key(line: Column) -> Column:
-    return F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\d+", "0"), r"[^\p{L}\p{N}]+", " ")))
+    return F.unhex(F.md5(F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\d+", "0"), r"[^\p{L}\p{N}]+", " "))))
 
 
 def depleted_documents(df: DataFrame, ident: str, text: str, host: str, limit: int = 5, least: float = 0.5) -> DataFrame:
@@ -78,13 +80,18 @@ def depleted_documents(df: DataFrame, ident: str, text: str, host: str, limit: i
     distinct documents of a host is removed there; a document of which less than least of its lines stay is depleted.
     A null host is a host of its own; blank lines don't count; a document without lines has share 0 and isn't depleted.
     Lines are counted per document first, so a line said often in one document, or a host with most documents, weighs
-    no more in the shuffle than its distinct lines.
+    no more in the shuffle than its distinct lines; lines are told apart by 128 bits. A line that stands in over a
+    thousandth of all (document, line) pairs meets them by broadcast, so that no task gets all documents with it.
     """
     lines = df.select(F.col(ident).alias("_id"), F.coalesce(F.col(host), F.lit("")).alias("_host"), F.explode_outer(F.split(text, "\n")).alias("_line"))
     lines = lines.where(F.col("_line").rlike(r"[\p{L}\p{N}]")).select("_id", "_host", _line_key(F.col("_line")).alias("_key"))
-    each = lines.groupBy("_host", "_key", "_id").agg(F.count(F.lit(1)).alias("_n"))
-    common = each.groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") > limit).select("_host", "_key", F.lit(True).alias("_common"))
-    seen = each.join(common, ["_host", "_key"], "left").groupBy("_id").agg(F.sum("_n").alias("lines"), F.sum(F.when(F.col("_common"), 0).otherwise(F.col("_n"))).alias("kept_lines"))
+    each = stage(lines.groupBy("_host", "_key", "_id").agg(F.count(F.lit(1)).alias("_n")), "lines")
+    common = stage(each.groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") > limit), "common")
+    total = each.count()
+    hot = common.where(F.col("_docs") > 0.001 * total).select("_host", "_key").collect()  # a thousand rows at most
+    hot = df.sparkSession.createDataFrame(hot, common.select("_host", "_key").schema) if hot else None
+    met = join_skewed(each, common.select("_host", "_key", F.lit(True).alias("_common")), ["_host", "_key"], hot, "left")
+    seen = met.groupBy("_id").agg(F.sum("_n").alias("lines"), F.sum(F.when(F.col("_common"), 0).otherwise(F.col("_n"))).alias("kept_lines"))
     out = df.select(F.col(ident).alias("_id")).join(seen, "_id", "left").na.fill(0, ["lines", "kept_lines"])
     share = F.when(F.col("lines") > 0, F.col("kept_lines") / F.col("lines")).otherwise(0.0)
     return out.select(F.col("_id").alias(ident), "lines", "kept_lines", share.alias("kept_share"), ((F.col("lines") > 0) & (share < least)).alias("depleted"))
