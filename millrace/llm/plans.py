@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.answers import defective_answers
+from millrace.llm.answers import answered_questions, defective_answers, length_spikes, shortened_texts
 from millrace.llm.leaks import leaked_items
 from millrace.llm.mixing import mix_entries, without_superseded
 from millrace.llm.packing import pack_documents, token_count
@@ -124,6 +124,23 @@ def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
     return p5_found(spark, folder).groupBy("defect").agg(F.count(F.lit(1)).alias("answers"))
 
 
+def _answers(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = answered_questions(table(spark, folder, "messages"), "conv_id", "turn", "role", "content", "lang", ["ingested_at", "message_id"])
+    return stage(pairs.select("conv_id", "turn", "answer"), "answers")
+
+
+def p5_shortened(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers without an end that the next answer in sorted order continues."""
+    answers = _answers(spark, folder)
+    texts = shortened_texts(answers, "answer").select(F.md5("answer").alias("_h"))
+    return answers.withColumn("_h", F.md5("answer")).join(texts, "_h", "left_semi").select("conv_id", "turn")
+
+
+def p5_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Lengths at which answers without an end pile up."""
+    return length_spikes(_answers(spark, folder), "answer")
+
+
 def _packs(spark: SparkSession, folder: str, fit: str = "shortest") -> DataFrame:
     sizes = stage(table(spark, folder, "documents").select("doc_id", token_count("text").alias("tokens")), "tokens")
     capacities = [(r[0], r[1]) for r in table(spark, folder, "pack_sizes").select("pack_name", "capacity_tokens").orderBy("pack_name").collect()]  # a fixed table of 3 rows
@@ -179,7 +196,7 @@ def p9_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p1_ranking": p1_ranking, "p2_found": p2_found, "p2_classes": p2_classes, "p2_split": p2_split, "p2_shares": p2_shares, "p3_mix": p3_mix, "p3_shares": p3_shares,
-    "p4_found": p4_found, "p4_one_form": p4_one_form, "p5_found": p5_found, "p5_counts": p5_counts, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
+    "p4_found": p4_found, "p4_one_form": p4_one_form, "p5_found": p5_found, "p5_counts": p5_counts, "p5_shortened": p5_shortened, "p5_limits": p5_limits, "p7_packs": p7_packs, "p7_fill": p7_fill, "p8_found": p8_found, "p8_leaks": p8_leaks,
     "p9_found": p9_found, "p9_share": p9_share, "p9_recurring_lines": p9_recurring_lines,
 }
 SQL = {"p1_ranking": P1_SQL, "p2_found": P2_SQL, "p2_classes": P2_CLASSES_SQL, "p9_recurring_lines": P9_LINES_SQL}
