@@ -185,3 +185,13 @@ def question_prompt(context: str, question: str) -> Column:
 def before_marker(text: str, marker: str = "### Output") -> Column:
     """What stands before the marker; the whole text where there is none."""
     return F.substring_index(F.col(text), marker, 1)
+
+
+def formatted(df: DataFrame, prompt: str, answer: str, ids: Callable[[str], Column]) -> DataFrame:
+    """df with what a formatted row has: context_ids, answer_ids, input_ids (both), mask (true on the answer), and the
+    lengths input_length, output_length and total_length. ids makes ids of a text column; a null text has none.
+    """
+    own = lambda c: F.coalesce(ids(c), F.array().cast("array<int>"))
+    out = df.withColumns({"context_ids": own(prompt), "answer_ids": own(answer)})
+    out = out.withColumns({"input_ids": F.concat("context_ids", "answer_ids"), "mask": F.concat(F.transform("context_ids", lambda _: F.lit(False)), F.transform("answer_ids", lambda _: F.lit(True)))})
+    return out.withColumns({"input_length": F.size("context_ids"), "output_length": F.size("answer_ids"), "total_length": F.size("input_ids")})

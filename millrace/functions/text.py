@@ -276,3 +276,40 @@ def common_suffix_length(column: str | Column, limit: int | None = None) -> Colu
     step = lambda s, p: F.when(s["on"] & (p["a"] == p["b"]), F.struct((s["n"] + 1).alias("n"), F.lit(True).alias("on"))).otherwise(F.struct(s["n"].alias("n"), F.lit(False).alias("on")))
     same = F.coalesce(F.least(F.aggregate(pairs, start, step)["n"], F.length(first)), F.lit(0))
     return same if limit is None else F.least(same, F.lit(limit))
+
+
+def common_prefix_length(a: str | Column, b: str | Column) -> Column:
+    """How many characters two texts begin with alike; null where a text is null."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(True).alias("on"))
+    step = lambda s, p: F.struct((s["n"] + (s["on"] & (p["a"] == p["b"])).cast("int")).alias("n"), (s["on"] & (p["a"] == p["b"])).alias("on"))
+    met = F.aggregate(F.arrays_zip(characters(a).alias("a"), characters(b).alias("b")), start, lambda s, p: step(s, F.struct(F.coalesce(p["a"], F.lit("")).alias("a"), F.coalesce(p["b"], F.lit("\u0000")).alias("b"))))
+    return met["n"]
+
+
+def newly_stable(before: str | Column, now: str | Column) -> Column:
+    """What a step adds to a stable prefix: the new one without what it shares with the one before."""
+    return F.substring(_c(now), common_prefix_length(before, now) + 1, F.length(_c(now)))
+
+
+# How English is cut into tokens, as patterns and what takes their place, in order. A run of dots is held by
+# a character of private use for each dot; a hyphen inside a word is written @-@.
+ENGLISH_CUTS = [
+    (r"\s+", " "), (r"[\x00-\x1f]", ""), (r"([^\s.'`,\-\p{L}\p{N}_]|[_\p{No}])", " $1 "), (r"([\p{L}\p{N}_])-([\p{L}\p{N}_])", "$1 @-@ $2"), (r"([\p{L}\p{N}_])-([\p{L}\p{N}_])", "$1 @-@ $2"),
+    (r"([^\p{Nd}]),", "$1 , "), (r",([^\p{Nd}])", " , $1"), (r"(\p{Nd}),$", "$1 ,"), (r"([^\p{L}])'([^\p{L}])", "$1 ' $2"), (r"([^\p{L}\p{N}_])'([\p{L}])", "$1 ' $2"),
+    (r"([^\p{Nd}\s])'([^\p{L}\s])", "$1 ' $2"), (r"([^\p{Nd}\s])'([\p{L}])", "$1 '$2"), (r"(\p{Nd})'(s)", "$1 '$2"), (r"([^\s.])\.(?:\s|$)", "$1 . "),
+]
+# Signs that are written as entities.
+ENGLISH_ENTITIES = [("&", "&amp;"), ("|", "&#124;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&apos;"), ('"', "&quot;"), ("[", "&#91;"), ("]", "&#93;")]
+_DOT = "\ue000"
+
+
+def english_tokens(text: str | Column) -> Column:
+    """English in tokens with one blank between: signs, commas beside numbers, contractions and final periods stand alone."""
+    held = F.regexp_replace(F.regexp_replace(_c(text), r"\.(?=\.)", _DOT), rf"({_DOT})\.", f"$1{_DOT}")
+    out = F.concat(F.lit(" "), F.regexp_replace(held, f"({_DOT}+)", " $1 "), F.lit(" "))
+    for pattern, new in ENGLISH_CUTS:
+        out = F.regexp_replace(out, pattern.replace(r"\-\p{L}", rf"{_DOT}\-\p{{L}}"), new)
+    out = squeeze(F.replace(out, F.lit(_DOT), F.lit(".")))
+    for sign, entity in ENGLISH_ENTITIES:
+        out = F.replace(out, F.lit(sign), F.lit(entity))
+    return out

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -81,9 +81,15 @@ def integer_code(value: Column, least: int, length: int, base: int = 100, start:
     return F.when(value.isNull(), nan if with_nan else F.raise_error(F.lit("the column takes no nan")).cast("array<int>")).otherwise(fits)
 
 
-def category_codes(df: DataFrame, column: str, start: int = 0) -> dict[str, int]:
-    """Ids of a category column's values in sorted order; for columns of few values."""
-    return {r[0]: start + i for i, r in enumerate(df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct().orderBy(column).collect())}
+def category_codes(df: DataFrame, column: str, start: int = 0, most: int = 100_000) -> dict[str, int]:
+    """Ids of a category column's values in sorted order; more than most values are an error, as the driver holds them.
+
+    A column of more values is coded by a join with label_index, which no one machine holds.
+    """
+    found = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the column {column} has more than {most} values")
+    return {v: start + i for i, v in enumerate(sorted((r["v"] for r in found), key=lambda v: v.encode()))}
 
 
 class Quantiles:
@@ -164,3 +170,55 @@ def special_pieces(text: str | Column) -> Column:
     """A text as its special tokens, <|...|>, and the texts between them, none empty."""
     c = F.col(text) if isinstance(text, str) else text
     return F.filter(F.split(F.regexp_replace(c, r"(<\|[^|<>]*\|>)", "\u0001$1\u0001"), "\u0001"), lambda x: x != "")
+
+
+Coder = Callable[..., tuple[Column, int]]
+
+
+def _int_coder(df: DataFrame, column: str, start: int, length: int = 2, base: int = 100) -> tuple[Column, int]:
+    least = df.agg(F.min(column)).first()[0] or 0
+    return integer_code(F.col(column), least, length, base, start), start + length * base + 1
+
+
+def _float_coder(df: DataFrame, column: str, start: int, length: int = 2, base: int = 100) -> tuple[Column, int]:
+    return integer_code(Quantiles(df, column).digits(column, length, base), 0, length, base, start), start + length * base + 1
+
+
+def _category_coder(df: DataFrame, column: str, start: int, most: int = 100_000) -> tuple[Column, int]:
+    codes = category_codes(df, column, start, most)
+    return F.array(F.element_at(lookup(F.array(F.col(column).cast("string")), codes, start + len(codes)), 1)), start + len(codes) + 1
+
+
+#: Coders of table columns by name: each fits itself to a column and gives its ids' column and the first id after its own.
+CODERS: dict[str, Coder] = {"int": _int_coder, "float": _float_coder, "category": _category_coder}
+
+
+def register_coder(name: str, make: Coder) -> None:
+    CODERS[name] = make
+
+
+def row_codes(df: DataFrame, columns: Sequence[tuple], start: int = 0) -> Column:
+    """The ids of several columns as one array, each column's range after the one before: (name, kind, options) each."""
+    parts, at = [], start
+    for name, kind, *options in columns:
+        if kind not in CODERS:
+            raise ValueError(f"no such coder: {kind}; there are {sorted(CODERS)}")
+        code, at = CODERS[kind](df, name, at, **(options[0] if options else {}))
+        parts.append(code)
+    return F.concat(*parts)
+
+
+def _english_ids(text: str | Column, labels: Sequence[str], **options) -> Column:
+    from millrace.functions.text import clean_label
+
+    return parsed_ids(clean_label(text), labels, **options)
+
+
+#: Transcript parsers by name: base takes the text as it is, en cleans it first.
+TRANSCRIPT_PARSERS: dict[str, Callable[..., Column]] = {"base": parsed_ids, "en": _english_ids}
+
+
+def transcript_parser(name: str) -> Callable[..., Column]:
+    if name not in TRANSCRIPT_PARSERS:
+        raise ValueError(f"no such parser: {name}; there are {sorted(TRANSCRIPT_PARSERS)}")
+    return TRANSCRIPT_PARSERS[name]

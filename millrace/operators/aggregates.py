@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import edit_distance_words, split_words
+from millrace.functions.text import edit_distance_words, let, split_words
+from millrace.operators.joins import hot_keys, join_skewed
 from millrace.operators.ordered import running_sum, with_position
+from millrace.session import stage
 
 
 def errors_and_size(hyp: str, ref: str, chars: bool = False) -> tuple[Column, Column]:
@@ -231,3 +233,48 @@ def pareto_front(df: DataFrame, keys: Sequence[str], low: str, high: str) -> Dat
     best_before = F.max(high).over(before.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     strictly = df.withColumn("_best", best_before).where(F.col(high) >= F.col("_best")).drop("_best")
     return strictly
+
+
+#: Confidence measures by name, each of a distribution and its number of classes.
+CONFIDENCE: dict[str, Callable[..., Column]] = {m: partial(confidence, measure=m) for m in ("max_prob", *(f"entropy_{k}_{s}" for k in ("gibbs", "tsallis", "renyi") for s in ("lin", "exp")))}
+
+
+def ngram_counts(df: DataFrame, words: Column, n: int = 2) -> DataFrame:
+    """Counts of n-grams of words between sentence marks: context, word, n."""
+    marked = F.concat(F.array_repeat(F.lit("<s>"), n - 1), words, F.array(F.lit("</s>")))
+    gram = lambda w, i: F.struct(F.array_join(F.slice(w, i, F.lit(n - 1)), " ").alias("context"), F.element_at(w, i + n - 1).alias("word"))
+    grams = let(marked, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: gram(w, i)))
+    return df.select(F.explode(grams).alias("g")).groupBy("g.context", "g.word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(tables: Sequence[tuple[DataFrame, float]]) -> DataFrame:
+    """Counts of several corpora as one, each times its weight."""
+    whole = reduce(lambda a, b: a.unionByName(b), [t.withColumn("n", F.col("n") * F.lit(float(w))) for t, w in tables])
+    return whole.groupBy("context", "word").agg(F.sum("n").alias("n"))
+
+
+def ngram_perplexity(counts: DataFrame, seen: DataFrame, add: float = 1.0) -> DataFrame:
+    """Perplexity, in one row, of counted n-grams (seen) under a model of counts with add-one smoothing: words, perplexity.
+
+    Both sides are counted before they meet, so a frequent n-gram is one row; contexts that may be hot meet by join_skewed.
+    """
+    counts, seen = stage(counts, "counts"), stage(seen, "seen")
+    size = counts.select("word").distinct().count()
+    whole = counts.groupBy("context").agg(F.sum("n").alias("_c"))
+    met = seen.join(counts.select("context", "word", F.col("n").alias("_w")), ["context", "word"], "left")
+    met = join_skewed(met, whole, ["context"], hot_keys(seen, ["context"]), "left")
+    p = (F.coalesce("_w", F.lit(0.0)) + add) / (F.coalesce("_c", F.lit(0.0)) + add * size)
+    return met.agg(F.sum("n").alias("words"), F.exp(-F.sum(F.col("n") * F.log(p)) / F.sum("n")).alias("perplexity"))
+
+
+#: Fixed value: seconds of an epoch per byte of data and row of a batch.
+SECONDS_A_BYTE = 0.0025
+
+
+def epoch_time(df: DataFrame, columns: Sequence[str], batch: int) -> DataFrame:
+    """How long an epoch takes, by the data's bytes over the batch size: seconds, shown (in seconds, minutes or hours)."""
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) for c in columns])
+    s = df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("_b")).select((F.col("_b") / batch * SECONDS_A_BYTE).alias("seconds"))
+    t = F.col("seconds")
+    shown = F.when(t < 60, F.format_string("%.2f seconds", t)).when(t < 3600, F.format_string("%.2f minutes", t / 60)).otherwise(F.format_string("%.2f hours", t / 3600))
+    return s.withColumn("shown", shown)

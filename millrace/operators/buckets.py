@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import let
 from millrace.operators.ordered import running_sum, with_position
 from millrace.session import stage
 
@@ -315,3 +316,49 @@ def filled_packs(df: DataFrame, ids: str, mask: str | None = None, answer_start:
     flat = lambda f: F.flatten(F.transform("_x", f))
     out = g.select("pack", flat(lambda x: x["ids"]).alias("input_ids"), flat(lambda x: x["loss"]).alias("loss_mask"), flat(lambda x: F.transform(x["ids"], lambda _, i: i)).alias("position_ids"), ends.alias("cu_seqlens"))
     return out.select("pack", "input_ids", "loss_mask", "position_ids", F.slice("cu_seqlens", F.lit(1), F.size("cu_seqlens") - 1).alias("seq_start_id"), "cu_seqlens")
+
+
+def block_causal_mask(lengths: Column) -> Column:
+    """A pack's attention mask from the lengths of its sequences: rows of booleans, true where a place sees another.
+
+    A place sees itself and those before it in its own sequence. The mask has the square of the pack's size, so it is for
+    a batch at hand; cu_seqlens of filled_packs says the same in a row.
+    """
+    owner = F.flatten(F.transform(lengths, lambda n, i: F.array_repeat(i, n.cast("int"))))
+    return let(owner, lambda o: F.transform(o, lambda a, i: F.transform(o, lambda b, j: (a == b) & (j <= i))))
+
+
+def first_fit_shuffled(df: DataFrame, key: str, length: str, capacity: int, seed: int | str = 0, cells: int = 1) -> DataFrame:
+    """First-fit packs of rows in hash order: adds cell and pack. An item above the capacity is an error.
+
+    Which pack an item meets depends on all before it, so first-fit is made cell by cell; rows go to cells by hash, and
+    cells is chosen so that a cell fits in a task (a hundred thousand rows, say). Packs don't cross cells.
+    """
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_h", key], kind="stable")
+        # The most room of a range of packs stands at its node, so the first pack with room is found from the top.
+        size = 1 << max(0, len(pdf) - 1).bit_length()
+        room, out = [capacity] * (2 * size), []
+        for n in pdf[length]:
+            if n > capacity:
+                raise ValueError("an item is longer than the capacity")
+            at = 1
+            while at < size:
+                at *= 2
+                at += room[at] < n
+            out.append(at - size)
+            room[at] -= n
+            while at > 1:
+                at //= 2
+                room[at] = max(room[2 * at], room[2 * at + 1])
+        return pdf.assign(pack=out).drop(columns="_h")
+
+    rows = df.withColumns({"cell": F.pmod(F.xxhash64(key), F.lit(cells)).cast("int"), "_h": h})
+    return rows.groupBy("cell").applyInPandas(run, f"{kinds}, cell int, pack long")
+
+
+#: Ways of packing a histogram of lengths by name.
+PACKERS: dict[str, Callable[[dict[int, int], int], list]] = {"first_fit_decreasing": first_fit_decreasing, "greedy_knapsack": greedy_knapsacks}

@@ -176,6 +176,13 @@ def q_library_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "eval_items").select("item_id", K.library_ids("text", "/opt/tokenizers/byte_bpe_50k.json").alias("ids"))
 
 
+# The value's place between the quantiles on either side, no two of which are equal here.
+SQL["q_quantile_codes"] = """
+with q as (select quantile_cont(o_totalprice::double, list_transform(range(0, 100), lambda i: i / 99.0::double)) as q from orders),
+o as (select o_orderkey, o_totalprice::double as v, len(list_filter(q, lambda e: e <= o_totalprice)) as i, q from orders, q),
+s as (select o_orderkey, case when i >= 100 then 1.0 else (i - 1 + (v - q[i]) / (q[i + 1] - q[i])) / 99 end as s from o)
+select o_orderkey, round(s, 6) as scaled, floor(s * 100)::bigint as digits from s
+"""
 QUERIES |= {"q_quantile_codes": q_quantile_codes, "q_sentencepiece": q_sentencepiece, "q_library_tokens": q_library_tokens}
 
 

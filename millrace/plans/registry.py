@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import metrics, problems, prompting, relational, scores, sequences, sources, streams, texts
+from millrace.plans import interfaces, metrics, problems, prompting, relational, scores, sequences, sources, streams, texts
 
-MODULES = [problems, texts, relational, metrics, sequences, prompting, sources, streams, scores]
+MODULES = [problems, texts, relational, metrics, sequences, prompting, sources, streams, scores, interfaces]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -108,6 +108,13 @@ def q_eou_emissions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["q_eou_emissions"] = q_eou_emissions
+# The last run of more than three blanks that lies wholly from the lower end of the search on, or is cut by that end.
+SQL["q_eou_emissions"] = """
+with d as (select doc_id, list_filter(string_split(text, ''), lambda c: c <> '') as c from documents), e as (select doc_id, len(c) as n, unnest(list_transform(c, lambda x: x >= 'a' and x <= 'm')) as speech, generate_subscripts(c, 1) - 1 as i from d where len(c) > 0),
+l as (select *, greatest(floor(n * 3 / 4) - 3, 0) as low from e), b as (select *, sum(speech::int) over (partition by doc_id order by i) as run from l where i >= low),
+r as (select doc_id, run, min(i) as first, count(*) as k from b where not speech group by 1, 2 having count(*) > 3), f as (select doc_id, arg_max(first, first) as first from r group by 1)
+select doc_id, (first + 1)::int as at from documents left join f using (doc_id)
+"""
 
 
 @query("""
@@ -188,17 +195,25 @@ select session_id, speaker, segment_id, part from f join k using (session_id, sp
 
 def q_equal_mass_bins(spark: SparkSession, folder: str) -> DataFrame:
     """Edges of duration buckets of equal mass."""
-    rows = table(spark, folder, "manifest_entries").where("duration > 0 and duration < 100 and not isnan(duration)").select(F.round("duration", 3).alias("duration"))
+    rows = table(spark, folder, "manifest_entries").where("duration > 0 and not isnan(duration)").select(F.round("duration", 3).alias("duration"))
     return spark.createDataFrame(list(enumerate(B.equal_mass_edges(rows, "duration", 8))), "place int, edge double")
 
 
 QUERIES["q_equal_mass_bins"] = q_equal_mass_bins
+# A cut falls on the first row before which, since the last cut, more than the limit stands.
+SQL["q_equal_mass_bins"] = """
+with recursive r as materialized (select v, row_number() over (order by v) as p, sum(v) over (order by v rows unbounded preceding) - v as lo from (select round(duration, 3) as v from manifest_entries where duration > 0 and not isnan(duration))),
+z as materialized (select sum(v) / 8 as limit_ from r),
+f as (select -1 as place, null::double as edge, 0.0::double as base union all
+  select place + 1, c.v, c.lo from (select place, (select min((p, v, lo)) from r, z where lo - base > limit_) as m from f) q, lateral (select m[1] as p, m[2] as v, m[3] as lo) c where m is not null)
+select place::int as place, round(edge, 3) as edge from f where place >= 0
+"""
 
 
 def q_bins_2d(spark: SparkSession, folder: str) -> DataFrame:
     """Within each duration bucket, edges of token buckets of equal mass, outliers left out."""
-    rows = table(spark, folder, "manifest_entries").where("duration > 0 and duration < 100 and not isnan(duration) and text is not null").select(F.round("duration", 3).alias("duration"), T.count_words("text").alias("tokens"))
-    edges = B.equal_mass_edges(rows, "duration", 3) + [100.0]
+    rows = table(spark, folder, "manifest_entries").where("duration > 0 and not isnan(duration) and text is not null").select(F.round("duration", 3).alias("duration"), T.count_words("text").alias("tokens"))
+    edges = B.equal_mass_edges(rows, "duration", 3) + [float("inf")]
     out, low = [], 0.0
     from millrace.operators.filters import without_outliers
 
@@ -405,40 +420,67 @@ select doc_id, shard, batch from f
 """
 
 
+PACK = 8192
+
+
 def _lengths(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "eval_items").select("item_id", T.count_words("text").alias("n")).where("n > 0 and n <= 128")
+    """Documents by words; one with more than a pack holds is an error of the packing."""
+    return table(spark, folder, "documents").where("text is not null").select("doc_id", T.count_words("text").alias("n")).where("n > 0")
 
 
 def q_first_fit_decreasing(spark: SparkSession, folder: str) -> DataFrame:
-    """Items in packs of 128 words, the longest first, each in the first pack with room."""
+    """Documents in packs of 8,192 words, the longest first, each in the first pack with room."""
     d = _lengths(spark, folder)
-    return B.packed(d, ["item_id"], "n", B.first_fit_decreasing(B.histogram(d, "n"), 128)).select("item_id", "n", "pack", "slot")
+    return B.packed(d, ["doc_id"], "n", B.PACKERS["first_fit_decreasing"](B.histogram(d, "n"), PACK)).select("doc_id", "n", "pack", "slot")
 
 
 def q_greedy_knapsack(spark: SparkSession, folder: str) -> DataFrame:
-    """Items in packs of 128 words, each pack filled with the largest that fits."""
+    """Documents in packs of 8,192 words, each pack filled with the largest that fits."""
     d = _lengths(spark, folder)
-    return B.packed(d, ["item_id"], "n", B.greedy_knapsacks(B.histogram(d, "n"), 128)).select("item_id", "n", "pack", "slot")
+    return B.packed(d, ["doc_id"], "n", B.PACKERS["greedy_knapsack"](B.histogram(d, "n"), PACK)).select("doc_id", "n", "pack", "slot")
 
 
 def q_pack_report(spark: SparkSession, folder: str) -> DataFrame:
     """How well first-fit-decreasing packs are filled."""
-    r = B.pack_report(B.first_fit_decreasing(B.histogram(_lengths(spark, folder), "n"), 128), 128)
+    r = B.pack_report(B.first_fit_decreasing(B.histogram(_lengths(spark, folder), "n"), PACK), PACK)
     return spark.createDataFrame([(r["packs"], r["most_items"], r["factor"], r["percent"])], "packs long, most_items long, factor double, percent double")
 
 
-QUERIES |= {"q_first_fit_decreasing": q_first_fit_decreasing, "q_greedy_knapsack": q_greedy_knapsack, "q_pack_report": q_pack_report}
-
-
 def q_fill_packs(spark: SparkSession, folder: str) -> DataFrame:
     """Packs with their tokens, masks and starts."""
     ids = F.transform(T.split_words("text"), lambda w: F.length(w))
-    d = table(spark, folder, "eval_items").select("item_id", ids.alias("ids")).withColumn("n", F.size("ids")).where("n > 0 and n <= 128")
-    packs = B.packed(d, ["item_id"], "n", B.first_fit_decreasing(B.histogram(d, "n"), 128))
+    d = table(spark, folder, "documents").where("text is not null").select("doc_id", ids.alias("ids")).withColumn("n", F.size("ids")).where("n > 0")
+    packs = B.packed(d, ["doc_id"], "n", B.first_fit_decreasing(B.histogram(d, "n"), PACK))
     return B.filled_packs(packs, "ids")
 
 
-QUERIES["q_fill_packs"] = q_fill_packs
+_ITEMS = f"select doc_id, {_words('text')} as w, len({_words('text')}) as n from documents where text is not null and len({_words('text')}) > 0"
+# Item by item, the longest first: the room of each pack is carried along.
+FIRST_FIT = f"""
+with recursive o as materialized (select doc_id as d, w, n, row_number() over (order by n desc, doc_id) as k from ({_ITEMS})),
+f as (select 0::bigint as i, []::bigint[] as room, null::bigint as doc_id, 0::bigint as n, null::bigint as pack union all
+  select k, case when p > len(room) then list_append(room, {PACK} - m) else list_transform(room, lambda r, j: case when j = p then r - m else r end) end, d, m, p - 1
+  from (select room, k, o.n as m, d, coalesce(list_position(list_transform(room, lambda r: r >= o.n), true), len(room) + 1) as p from f join o on k = i + 1)),
+a as (select doc_id, n, pack, row_number() over (partition by pack order by i) - 1 as slot from f where i > 0)
+"""
+QUERIES |= {"q_first_fit_decreasing": q_first_fit_decreasing, "q_greedy_knapsack": q_greedy_knapsack, "q_pack_report": q_pack_report, "q_fill_packs": q_fill_packs}
+SQL |= {
+    "q_first_fit_decreasing": f"{FIRST_FIT} select doc_id, n::int as n, pack, slot::int as slot from a",
+    "q_pack_report": f"{FIRST_FIT}, p as (select pack, count(*) as items, sum(n) as used from a group by 1) select count(*) as packs, max(items) as most_items, round(sum(items) / count(*), 2) as factor, round(sum(used) / (count(*) * {PACK}) * 100, 2) as percent from p",
+    "q_greedy_knapsack": f"""
+with recursive o as materialized (select list(doc_id order by n desc, doc_id) as ds, list(n order by n desc, doc_id) as ns from ({_ITEMS})),
+f as (select ds, ns, {PACK}::bigint as room, 0::bigint as pack, -1::bigint as slot, null::bigint as doc_id, null::bigint as n from o union all
+  select case when x is null then ds else list_concat(ds[: x - 1], ds[x + 1 :]) end, case when x is null then ns else list_concat(ns[: x - 1], ns[x + 1 :]) end, case when x is null then {PACK} else room - ns[x] end,
+    case when x is null then pack + 1 else pack end, case when x is null then -1 else slot + 1 end, case when x is not null then ds[x] end, case when x is not null then ns[x] end
+  from (select *, list_position(list_transform(ns, lambda v: v <= room), true) as x from f where len(ns) > 0))
+select doc_id, n::int as n, pack, slot::int as slot from f where doc_id is not null
+""",
+    "q_fill_packs": f"""{FIRST_FIT}, t as (select pack, slot, list_transform(o.w, lambda x: length(x)) as ids from a join o on o.d = a.doc_id),
+g as (select pack, flatten(list(ids order by slot)) as input_ids, list(len(ids) order by slot) as z, flatten(list(list_transform(range(0, len(ids)), lambda i: i::int) order by slot)) as position_ids from t group by 1),
+c as (select *, list_transform(range(0, len(z) + 1), lambda i: coalesce(list_sum(z[: i]), 0)::int) as cu from g)
+select pack, input_ids, list_transform(input_ids, lambda x: true) as loss_mask, position_ids, cu[: len(cu) - 1] as seq_start_id, cu as cu_seqlens from c
+""",
+}
 
 
 @query("""
@@ -468,6 +510,23 @@ def q_block_spans(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES |= {"q_sentence_spans": q_sentence_spans, "q_block_spans": q_block_spans}
 
 
+def _spans_sql(enough: str) -> str:
+    """Sentence by sentence: where the open span began, its words so far, and the span that closed, if one did."""
+    from millrace.plans.texts import SQL as TEXTS
+
+    return f"""
+with recursive t as (select doc_id, list_transform(value, lambda s: len(string_split(s, ' '))) as z from ({TEXTS["q_sentence_split"]}) where value is not null),
+s as materialized (select doc_id, z, len(z) as n from t where len(z) >= 2 and list_max(z) <= 512),
+f as (select doc_id, z, n, 0 as i, 0 as began, 0::bigint as total, -1 as block, null::int as start, null::int as end_ from s union all
+  select doc_id, z, n, i + 1, case when c then i + 1 else began end, case when c then 0 else total + z[i + 1] end, case when c then block + 1 else block end, case when c then began end, case when c then i + 1 end
+  from (select *, (total + z[i + 1] >= 60 and {enough} and i + 1 - began >= 2) or i + 1 = n as c from f where i < n))
+select doc_id, block::int as block, start, end_ as "end" from f where start is not null
+"""
+
+
+SQL |= {"q_sentence_spans": _spans_sql("n - i - 1 > 1"), "q_block_spans": _spans_sql("n - i - 1 >= 2")}
+
+
 @query(f"""
 with t as (select item_id, unnest(list_transform({_words('text')}, lambda w: length(w))) as v, generate_subscripts({_words('text')}, 1) as p from eval_items), o as (select v, row_number() over (order by item_id, p) - 1 as i from t), g as (select i // 64 as pack, list(v order by i) as tokens from o group by 1)
 select pack, list_resize(tokens, 64, 0) as tokens, len(tokens)::int as used from g
@@ -506,6 +565,13 @@ def q_merge_buffer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["q_merge_buffer"] = q_merge_buffer
+SQL["q_merge_buffer"] = f"""
+with recursive o as materialized (select session_id as k, list(end_time - start_time order by start_time, segment_id) as d from {SEG} group by 1),
+f as (select k, d, 0 as i, 0 as merged, 0 as parts, 0.0::double as used, null::int as done, null::int as n, null::double as seconds from o union all
+  select k, d, i + 1, case when c then merged + 1 else merged end, case when c then 1 else parts + 1 end, case when c then 0 else used end + coalesce(d[i + 1], 0), case when c then merged end, case when c then parts end, case when c then used end
+  from (select *, parts > 0 and (i >= len(d) or parts >= 4 or used + d[i + 1] > 20) as c from f where i < len(d) or (i = len(d) and parts > 0)))
+select k as session_id, done as merged, n as parts, round(seconds, 6) as seconds from f where done is not null
+"""
 
 
 @query("select request_id, unnest(string_split(array_to_string(list_transform(texts, lambda x: replace(coalesce(x, ''), '|', '')), '|'), '|')) as part, generate_subscripts(texts, 1)::int - 1 as place from translate_requests where len(texts) > 0")
@@ -561,3 +627,7 @@ def q_clamped_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["q_clamped_offsets"] = q_clamped_offsets
+SQL["q_clamped_offsets"] = f"""
+with s as {STEPS}, x as (select session_id, speaker, t, list_transform(range(1, len(t) + 1), lambda i: t[i] + case when i > ceil(len(t) / 2) then 4 else 0 end) as a from s)
+select session_id, speaker, list_transform(range(1, len(a) + 1), lambda i: {{'s': case when i > 1 then greatest(a[i], a[i - 1] + 2) else a[i] end, 'e': a[i] + 2}}) as offsets from x
+"""

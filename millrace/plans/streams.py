@@ -115,6 +115,13 @@ def q_admission(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["q_admission"] = q_admission
+# Stream by stream: when each of the eight slots is free again.
+SQL["q_admission"] = f"""
+with recursive t as materialized (select item_id, ceil(len({_words('text')}) / 8)::int as n, row_number() over (order by item_id) as k from eval_items where len({_words('text')}) > 0),
+f as (select 0::bigint as i, [0, 0, 0, 0, 0, 0, 0, 0] as free, null::bigint as item_id, 0 as n, 0 as begun union all
+  select k, list_transform(free, lambda x, j: case when j = list_position(free, list_min(free)) then x + t.n else x end), t.item_id, t.n, list_min(free) from f join t on k = i + 1)
+select item_id, frame_no::int as frame_no, (begun + frame_no)::int as step from (select item_id, begun, unnest(range(0, n)) as frame_no from f where i > 0)
+"""
 
 
 @query("select entry_id, (entry_id // 1000 > 0 or ('0x' || substr(md5(entry_id || ':5'), 1, 8))::bigint % 100 < 30) as augmented from manifest_entries")

@@ -17,7 +17,7 @@ from millrace.session import stage
 # Fixed values of the index format: its first bytes, its version, and the kinds of numbers by code.
 MAGIC, VERSION = b"MMIDIDX\x00\x00", 1
 KINDS = {1: "u1", 2: "i1", 3: "<i2", 4: "<i4", 5: "<i8", 6: "<f8", 7: "<f4", 8: "<u2"}
-_HEAD = struct.Struct("<QBQQ")
+HEAD = "<QBQQ"  # version, kind, sequences, document borders
 
 
 def _header(prefix: str) -> tuple[np.dtype, int, int]:
@@ -25,7 +25,7 @@ def _header(prefix: str) -> tuple[np.dtype, int, int]:
     with open(f"{prefix}.idx", "rb") as f:
         if f.read(len(MAGIC)) != MAGIC:
             raise ValueError(f"{prefix}.idx isn't an index of a token corpus")
-        version, code, sequences, documents = _HEAD.unpack(f.read(_HEAD.size))
+        version, code, sequences, documents = struct.unpack(HEAD, f.read(struct.calcsize(HEAD)))
     if version != VERSION:
         raise ValueError(f"{prefix}.idx has version {version}")
     return np.dtype(KINDS[code]), sequences, documents
@@ -37,7 +37,7 @@ def read_token_files(spark: SparkSession, prefix: str, rows_a_task: int = 100_00
     The header alone is read on the driver; each task maps the files and reads the sequences of its range.
     """
     kind, n, _ = _header(prefix)
-    at = len(MAGIC) + _HEAD.size
+    at = len(MAGIC) + struct.calcsize(HEAD)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes = np.memmap(f"{prefix}.idx", "<i4", "r", at, (n,)) if n else np.empty(0, "<i4")
@@ -69,7 +69,7 @@ def write_token_files(df: DataFrame, order: Sequence[str], tokens: str, folder:
                     f.write(np.asarray(x, kind).tobytes())
         starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)[:-1]]) * kind.itemsize if sizes else np.empty(0, np.int64)
         with open(f"{prefix}.idx", "wb") as f:
-            f.write(MAGIC + _HEAD.pack(VERSION, code, len(sizes), len(sizes) + 1))
+            f.write(MAGIC + struct.pack(HEAD, VERSION, code, len(sizes), len(sizes) + 1))
             f.write(np.asarray(sizes, "<i4").tobytes() + starts.astype("<i8").tobytes() + np.arange(len(sizes) + 1, dtype="<i8").tobytes())
         yield pd.DataFrame({"prefix": [prefix], "n": [len(sizes)]})
 

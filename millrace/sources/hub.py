@@ -37,7 +37,7 @@ def audio_path(path: Column, base: str) -> Column:
     inner = F.regexp_replace(F.split_part(path, F.lit("::"), F.lit(1)), "zip://", "")
     name = F.regexp_replace(inner, r"^/+", "")
     whole = F.when(inner.startswith("/"), inner).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), name))
-    return F.concat(F.regexp_replace(whole, r"(?<=[^/.])\.[^./]*$", ""), F.lit(".wav"))
+    return F.concat(F.regexp_replace(whole, r"([^/.])\.[^./]*$", "$1"), F.lit(".wav"))
 
 
 def as_manifest(df: DataFrame, base: str, audio: str = "audio") -> DataFrame:

@@ -6,12 +6,12 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.joins import bounded_hash, last_by_key
-from millrace.operators.ordered import with_position
+from millrace.operators.ordered import running_sum, with_position
 from millrace.session import stage
 
 # The keys under which a manifest may hold each field, first match first.
@@ -224,3 +224,23 @@ def free_name(spark: SparkSession, path: str) -> str:
             return name
         n += 1
         name = f"{stem}_prepared{n}{dot}{ext}"
+
+
+def source_streams(rows: DataFrame, lang: str, source: str, shard: str, order: Sequence[str], sources: dict[str, Sequence[str]], kept: Column, give_up: int = 2) -> DataFrame:
+    """Each language's rows in the order in which its sources are read: columns of rows, place (from 0 in the language).
+
+    sources names the sources of each language in order. A source's shards come by number and a shard's rows by order;
+    rows that aren't kept fall away. A source of which give_up shards in a row keep nothing is left at the last of them.
+    Only the shards' counts, a row a shard, are windowed; the places are running counts over range partitions.
+    """
+    named = [(k, s, i) for k, v in sources.items() for i, s in enumerate(v)]
+    places = rows.sparkSession.createDataFrame(named, "_l string, _s string, _turn int")
+    known = rows.join(F.broadcast(places), (F.col(lang) == F.col("_l")) & (F.col(source) == F.col("_s"))).drop("_l", "_s")
+    known = known.withColumn("_kept", F.coalesce(kept, F.lit(False)))
+    counts = known.groupBy(lang, source, shard).agg(F.count_if("_kept").alias("_n"))
+    by = Window.partitionBy(lang, source).orderBy(shard)
+    counts = counts.withColumn("_dry", F.max("_n").over(by.rowsBetween(1 - give_up, 0)) + F.when(F.count(F.lit(1)).over(by.rowsBetween(1 - give_up, 0)) < give_up, 1).otherwise(0))
+    read = counts.withColumn("_left", F.coalesce(F.max((F.col("_dry") == 0).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where("_left = 0").select(lang, source, shard)
+    live = known.where("_kept").join(read, [lang, source, shard], "left_semi")
+    ranked = running_sum(live.withColumn("_one", F.lit(1)), [lang], ["_turn", shard, *order], "_one", "_rank")
+    return ranked.select(*rows.columns, (F.col("_rank") - 1).cast("bigint").alias("place"))
