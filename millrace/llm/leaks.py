@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +17,16 @@ from millrace.llm.wordstream import Words, chunks, word_stream
 
 WINDOW = 3
 LEAST_WORDS = 8
-BLOCK_ROWS = 20_000
+#: Characters of items that go to the tasks at once; their index takes about eight bytes a character.
+BLOCK_CHARS = 8_000_000
+#: Cells of an alignment's table; beyond, it is cut in halves so that memory stays in proportion to the lengths.
+TABLE_CELLS = 4_000_000
 # Codes of the typed placeholders; words of the items have codes from FIRST on, all others none.
 NONE, NUMBER, NAME, UNIT, FIRST = -1, 1, 2, 3, 8
 _LEAD_IN = re.compile(r"^[^.!?:\uff1a\n]{1,80}?\s?[:\uff1a]\s")
-_NAME = re.compile(r"\b([A-Z][a-z]{2,}) ([A-Z][a-z]{2,})\b")
+_PART = "[A-Z\u00c0-\u00d6\u00d8-\u00deА-ЯЁ][a-z\u00df-\u00f6\u00f8-\u00ffа-яё]{2,}"
+_NAME = re.compile(rf"\b({_PART}) ({_PART})\b")
+_LOWER = re.compile("\\b[a-z\u00df-\u00f6\u00f8-\u00ffа-яё]+\\b")
 
 
 class Items(NamedTuple):
@@ -64,7 +70,7 @@ def index_items(ids: list, texts: list[str]) -> Items:
     """The index of a block of items; an item under LEAST_WORDS words without its lead-in gets no postings."""
     bare = [_LEAD_IN.sub("", t) for t in texts]
     w = word_stream(bare)
-    lower = {x for t in bare for x in re.findall(r"\b[a-z]+\b", t)}
+    lower = {x for t in bare for x in _LOWER.findall(t)}
     names = frozenset(x.lower() for t in bare for pair in _NAME.findall(t) for x in pair if x.lower() not in lower)
     vocabulary = {x: i + FIRST for i, x in enumerate(w.words)}
     digit = np.array([x.isdigit() for x in w.words], bool)
@@ -143,19 +149,38 @@ def _candidates(w: Words, template: np.ndarray, items: Items) -> pd.DataFrame:
     return out.drop_duplicates(["doc", "item", "at"])
 
 
+def _gain(a: np.ndarray, ta: np.ndarray, b: np.ndarray, tb: np.ndarray) -> np.ndarray:
+    """What a word of the item (or each of them) earns at each place of the stretch: equal words before equal slots."""
+    return np.where(a == b, 1.0, np.where((ta == tb) & (ta < FIRST), 0.6, 0.0))
+
+
+def _last_row(a: np.ndarray, ta: np.ndarray, b: np.ndarray, tb: np.ndarray) -> np.ndarray:
+    """The best score of all of a with each beginning of b, a row of the table at a time."""
+    row = np.zeros(len(b) + 1)
+    for i in range(len(a)):
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + _gain(a[i], ta[i], b, tb)))
+    return row
+
+
 def _align(a: np.ndarray, ta: np.ndarray, b: np.ndarray, tb: np.ndarray) -> list[tuple[int, int, bool]]:
-    """Longest common subsequence of the templates of an item (a) and a stretch (b), equal words before equal slots."""
+    """Longest common subsequence of the templates of an item (a) and a stretch (b), equal words before equal slots.
+
+    A long pair is halved where the scores of both halves add up to the most, so memory grows with the lengths only.
+    """
     n, m = len(a), len(b)
+    if n * m > TABLE_CELLS and n > 1:
+        half = n // 2
+        first, rest = _last_row(a[:half], ta[:half], b, tb), _last_row(a[half:][::-1], ta[half:][::-1], b[::-1], tb[::-1])[::-1]
+        at = int(np.argmax(first + rest))
+        return _align(a[:half], ta[:half], b[:at], tb[:at]) + [(i + half, j + at, e) for i, j, e in _align(a[half:], ta[half:], b[at:], tb[at:])]
     score = np.zeros((n + 1, m + 1), np.float64)
-    exact = a[:, None] == b[None, :]
-    gain = np.where(exact, 1.0, np.where((ta[:, None] == tb[None, :]) & (ta[:, None] < FIRST), 0.6, 0.0))
+    gain = _gain(a[:, None], ta[:, None], b[None, :], tb[None, :])
     for i in range(1, n + 1):
-        row = np.maximum(score[i - 1, 1:], score[i - 1, :-1] + gain[i - 1])
-        score[i, 1:] = np.maximum.accumulate(row)
+        score[i, 1:] = np.maximum.accumulate(np.maximum(score[i - 1, 1:], score[i - 1, :-1] + gain[i - 1]))
     out, i, j = [], n, m
     while i and j:
         if gain[i - 1, j - 1] and score[i, j] == score[i - 1, j - 1] + gain[i - 1, j - 1]:
-            out.append((i - 1, j - 1, bool(exact[i - 1, j - 1])))
+            out.append((i - 1, j - 1, bool(a[i - 1] == b[j - 1])))
             i, j = i - 1, j - 1
         elif score[i, j] == score[i - 1, j]:
             i -= 1
@@ -189,12 +214,17 @@ def _stretch(pairs: list[tuple[int, int, bool]], slack: float) -> tuple[int, int
     j = np.array([p[1] for p in pairs])
     i = np.array([p[0] for p in pairs])
     exact = np.concatenate([[0], np.cumsum([p[2] for p in pairs])])
-    n = len(pairs)
-    first, last = np.triu_indices(n)
-    count = last - first + 1
-    allowed = slack * count + 2
-    good = (j[last] - j[first] + 1 <= allowed) & (i[last] - i[first] + 1 <= allowed)
-    return int((exact[last + 1] - exact[first])[good].max()), int(count[good].max())
+    n, most, longest = len(pairs), 0, 0
+    # A row of first places for each last one, some rows at a time: memory in proportion to the pairs.
+    step = max(1, TABLE_CELLS // n)
+    for k in range(0, n, step):
+        last = np.arange(k, min(n, k + step))[:, None]
+        first = np.arange(int(last[-1, 0]) + 1)[None, :]
+        count = last - first + 1
+        good = (count > 0) & (j[last] - j[first] + 1 <= slack * count + 2) & (i[last] - i[first] + 1 <= slack * count + 2)
+        most = max(most, int(np.where(good, exact[last + 1] - exact[first], 0).max()))
+        longest = max(longest, int(np.where(good, count, 0).max()))
+    return most, longest
 
 
 def find_in_batch(texts: list[str], items: Items, slack: float = 1.3) -> list[tuple[int, int, int, int, int]]:
@@ -214,15 +244,18 @@ def find_in_batch(texts: list[str], items: Items, slack: float = 1.3) -> list[tu
         b, tb = plain[lo:hi], template[lo:hi]
         pairs = _align(a, ta, b, tb)
         kept = _consistent(pairs, a, ta, b)
-        got = _stretch([p for p in pairs if p[2]], slack)[0], _stretch(kept, slack)[1]
+        equal = _stretch([p for p in pairs if p[2]], slack)[0]
+        literal = int((ta >= FIRST).sum())  # the item's words that aren't slots: half of them must be there as well
+        told = sum(e and ta[i] >= FIRST for i, _, e in kept)
+        got = equal, (_stretch(kept, slack)[1] if 2 * told >= literal else equal)
         old = best.get((doc, item), (0, 0))
         best[doc, item] = max(old[0], got[0]), max(old[1], got[1])
     return [(d, i, len(items.words[i]), e, s) for (d, i), (e, s) in best.items()]
 
 
-def _scan(ids: list, texts: list[str], share: float):
+def _scan(index: Broadcast, share: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items = index_items(ids, texts)
+        items: Items = index.value
         for pdf in chunks(batches, "_text"):
             found = find_in_batch(pdf["_text"].fillna("").tolist(), items)
             found = [x for x in found if max(x[3], x[4]) >= math.ceil(share * x[2])]
@@ -238,24 +271,25 @@ def leaked_items(docs: DataFrame, ident: str, text: str, items: DataFrame, item_
     Columns: ident, item_ident, item_words, equal_words, template_words. A lead-in ending in a colon isn't part of the
     item; an item under 8 words has no row. Case, punctuation, character forms, line openings and line breaks make no
     difference. equal_words counts the item's very words, in order; template_words also slots (numbers, names, the word
-    after a number) that hold another value, each value of the item standing for one value of the document. A row is
-    given if either reaches share; equal_words / item_words tells a copy from a re-parameterised one. The stretch may be
+    after a number) that hold another value, each value of the item standing for one value of the document; slots count
+    only where half of the item's other words are there. A row is given if either reaches share; equal_words / item_words tells a copy from a re-parameterised one. The stretch may be
     1.3 times as long as its matches, and 2 words. Null and empty texts give nothing; ids that repeat give rows each.
 
-    Method: item and document words become templates; every window of three template words is looked up in the hashed
-    windows of the items, hits are gathered by document, item and offset, and what has hits for over a fifth of the
-    item is aligned exactly. Items are a stated query set: they go to the tasks in blocks of at most 20,000 rows, and
-    the documents, whole, are never shuffled.
+    Method: item and document words become templates. The items' windows of three template words, hashed and sorted once,
+    are the build side of a hash join that goes to every machine, of about 64 MB at most as the items are cut into blocks
+    of BLOCK_CHARS characters; the documents' windows are its probe side, so the documents, whole, are never shuffled.
+    Hits are gathered by document, item and offset, and what has hits for over a fifth of the item is aligned exactly, in
+    memory that grows with the item's length only. Items beyond a block take another reading of the documents.
     """
     kinds = docs.schema[ident].dataType.simpleString(), items.schema[item_ident].dataType.simpleString()
     given = items.select(item_ident, item_text).where(F.col(item_ident).isNotNull() & (F.length(F.trim(item_text)) > 0))
-    blocks = max(1, math.ceil(given.count() / BLOCK_ROWS))
+    blocks = max(1, math.ceil((given.agg(F.sum(F.length(item_text))).first()[0] or 0) / BLOCK_CHARS))
     rows = docs.select(F.col(ident).alias("_id"), F.col(text).alias("_text")).where(F.length("_text") > 0)
     out = None
     for k in range(blocks):
-        block = given if blocks == 1 else given.where(F.pmod(F.xxhash64(item_ident), F.lit(blocks)) == k)
+        block = given if blocks == 1 else given.where(F.pmod(F.xxhash64(item_ident, item_text), F.lit(blocks)) == k)
         got = block.toPandas()
-        scan = _scan(got[item_ident].tolist(), got[item_text].tolist(), share)
-        part = rows.mapInPandas(scan, f"_id {kinds[0]}, _item {kinds[1]}, item_words int, equal_words int, template_words int")
+        index = docs.sparkSession.sparkContext.broadcast(index_items(got[item_ident].tolist(), got[item_text].tolist()))
+        part = rows.mapInPandas(_scan(index, share), f"_id {kinds[0]}, _item {kinds[1]}, item_words int, equal_words int, template_words int")
         out = part if out is None else out.unionByName(part)
     return out.select(F.col("_id").alias(ident), F.col("_item").alias(item_ident), "item_words", "equal_words", "template_words")
