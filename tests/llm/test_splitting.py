@@ -94,3 +94,33 @@ def test_shares_of_many_small_components(spark):
     total = sum(weight.values())
     assert plan["large"] == "train"
     assert abs(weight["train"] / total - 0.8) < 0.005 and abs(weight["test"] / total - 0.1) < 0.005
+
+
+def test_hot_speaker_and_giant_component_are_spread(spark):
+    """One speaker with half of all edges, and one component with most nodes: no task of a join gets over a third."""
+    from pyspark.sql import functions as F
+
+    from millrace.llm import components as C
+    from millrace.llm.splitting import speaker_classes
+    from millrace.operators.joins import hot_keys, join_skewed
+
+    edges = [("s:hot", f"r:{i}") for i in range(3000)] + [(f"s:{i}", f"r:{i}") for i in range(1500)] + [(f"s:x{i}", f"r:x{i}") for i in range(1500)]
+    df = spark.createDataFrame(edges, "a string, b string")
+    want = brute(edges)
+    for small in (0, 10_000):
+        assert groups(C.components(df, "a", "b", hops=2, small_edges=small, chunk=200, share=0.01)) == want
+    labels = C.components(df, "a", "b", small_edges=0, share=0.01)
+    hot = hot_keys(labels, ["root"], 0.01)
+    assert hot.count() == 1
+    for left, right, key, keys in ((df, labels.withColumnRenamed("node", "a"), "a", hot_keys(df, ["a"], 0.01)), (labels, labels.select("root").distinct().withColumn("n", F.lit(1)), "root", hot)):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # small partitions would be put together
+        try:
+            met = join_skewed(left.repartition(8), right, [key], keys)
+            most = max(r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect())
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert most < left.count() / 3
+    rows = [(i, "hot" if i % 2 else f"s{i}", f"rec{i // 2:08d}", "r") for i in range(2000)] + [(9000, None, "rec00000001", "r"), (9001, "Alone", None, "r"), (9002, "alone!", None, "r")]
+    got = {r["speaker"]: (r["class_id"], r["members"]) for r in speaker_classes(entries(spark, rows)).collect()}
+    assert got["hot"] == ("hot", 1001) and got["s10"] == ("hot", 1001) and got["Alone"] == got["alone!"] == ("Alone", 2)
+    assert speaker_classes(entries(spark, [])).count() == 0
