@@ -176,7 +176,8 @@ def is_speech_text(text: str | Column) -> Column:
     signs = F.regexp_count(c, F.lit(r"[^\p{L}\p{N}\s\x0B\x1C-\x1F\x85\p{Z}]"))
     start = F.substring(c, 1, 10)
     again = (size - F.length(F.replace(c, start, F.lit("")))) / F.when(start != "", F.length(start))
-    runs = F.exists(F.array_distinct(F.split(F.substring(c, 1, 20), "")), lambda x: (x != "") & F.contains(c, F.repeat(x, F.lit(10))))
+    # Characters that stand ten times in a row, all found in one reading of the text.
+    runs = F.arrays_overlap(F.regexp_extract_all(c, F.lit(r"(?s)(.)\1{9}"), F.lit(1)), characters(F.substring(c, 1, 20)))
     traces = "|".join(map(re.escape, CODE_TRACES + ENTITIES))
     tags = "|".join(map(re.escape, MUSIC_TAGS))
     return (

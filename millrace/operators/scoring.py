@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from millrace.functions.text import split_words
 from millrace.operators.joins import overlapping
 from millrace.operators.ordered import scanned
-from millrace.session import stage
+from millrace.session import shuffle_parts, stage
 
 
 def _rows(ref: Sequence, hyp: Sequence) -> np.ndarray:
@@ -187,20 +187,17 @@ def assignment(cost: np.ndarray) -> list[int]:
         least, used = np.full(m + 1, math.inf), np.zeros(m + 1, bool)
         while True:
             used[j0] = True
-            i0, delta, j1 = match[j0], math.inf, 0
-            for j in range(1, m + 1):
-                if not used[j]:
-                    c = cost[i0 - 1, j - 1] - u[i0] - v[j]
-                    if c < least[j]:
-                        least[j], way[j] = c, j0
-                    if least[j] < delta:
-                        delta, j1 = least[j], j
-            for j in range(m + 1):
-                if used[j]:
-                    u[match[j]] += delta
-                    v[j] -= delta
-                else:
-                    least[j] -= delta
+            i0, free = match[j0], ~used
+            free[0] = False
+            c = np.full(m + 1, math.inf)
+            c[1:] = cost[i0 - 1] - u[i0] - v[1:]
+            nearer = free & (c < least)
+            least[nearer], way[nearer] = c[nearer], j0
+            j1 = int(np.argmin(np.where(free, least, math.inf)))
+            delta = least[j1]
+            np.add.at(u, match[used], delta)
+            v[used] -= delta
+            least[free] -= delta
             j0 = j1
             if not match[j0]:
                 break
@@ -223,13 +220,32 @@ def speaker_errors(hyps: list[str], refs: list[str]) -> tuple[int, int]:
 
 
 def speaker_word_errors(df: DataFrame, session: str, side: str, speaker: str, text: str) -> DataFrame:
-    """Per session: errors, size, cpwer. side says 'hyp' or 'ref'; a row is a speaker's whole text in a session."""
+    """Per session: errors, size, cpwer. side says 'hyp' or 'ref'; a row is a speaker's whole text in a session.
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        e, n = speaker_errors(*[pdf[pdf[side] == s].sort_values(speaker)[text].fillna("").tolist() for s in ("hyp", "ref")])
-        return pd.DataFrame({session: [key[0]], "errors": [e], "size": [n]})
+    The distance of each pair of texts is a row of its own, spread over tasks whatever its session; only a session's
+    numbers, one for each pair and each speaker, meet in a task, where speakers are matched at the least total.
+    """
+    kind = df.schema[session].dataType.simpleString()
+    rows = df.select(F.col(session).alias("_s"), F.col(side).alias("_side"), F.col(speaker).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    rows = stage(rows.withColumn("_n", F.size(split_words("_t"))), "speakers")
+    h, r = (rows.where(F.col("_side") == x).select("_s", F.col("_k").alias(f"_k{x}"), F.col("_t").alias(f"_t{x}")) for x in ("hyp", "ref"))
+    pairs = h.join(r, "_s").repartition(shuffle_parts(df), "_s", "_khyp", "_kref")  # work goes with the lengths' product, not the bytes
+    words = F.pandas_udf(lambda a, b: pd.Series([distance(x.split(), y.split()) for x, y in zip(a, b, strict=True)], dtype="int32"), T.IntegerType())
+    pairs = pairs.select("_s", F.col("_khyp").alias("h"), F.col("_kref").alias("r"), words("_thyp", "_tref").alias("d"))
+    alone = rows.select("_s", F.when(F.col("_side") == "hyp", F.col("_k")).alias("h"), F.when(F.col("_side") == "ref", F.col("_k")).alias("r"), F.col("_n").alias("d"))
 
-    out = df.select(session, side, speaker, text).groupBy(session).applyInPandas(run, f"{session} {df.schema[session].dataType.simpleString()}, errors long, size long")
+    def match(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        own_h, own_r = (pdf[pdf[a].notna() & pdf[b].isna()].set_index(a)["d"] for a, b in (("h", "r"), ("r", "h")))
+        n = max(len(own_h), len(own_r))
+        cost = np.zeros((n, n))
+        cost[: len(own_h), :] = own_h.to_numpy(float)[:, None]
+        cost[:, : len(own_r)] = np.maximum(cost[:, : len(own_r)], own_r.to_numpy(float)[None, :])
+        both = pdf[pdf["h"].notna() & pdf["r"].notna()]
+        cost[own_h.index.get_indexer(both["h"]), own_r.index.get_indexer(both["r"])] = both["d"]
+        pick = assignment(cost) if n else []
+        return pd.DataFrame({session: [key[0]], "errors": [int(sum(cost[i, j] for i, j in enumerate(pick)))], "size": [int(own_r.sum())]})
+
+    out = pairs.unionByName(alone).groupBy("_s").applyInPandas(match, f"{session} {kind}, errors long, size long")
     return out.withColumn("cpwer", F.try_divide("errors", "size"))
 
 

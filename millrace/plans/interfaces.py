@@ -22,6 +22,7 @@ from millrace.session import fresh_path
 from millrace.sources import corpus as C
 from millrace.sources import hub as H
 from millrace.sources import manifest as M
+from millrace.sources.store import StoredFile
 
 QUERIES, SQL = {}, {}
 
@@ -263,6 +264,19 @@ def q_first_fit_shuffled(spark, folder):
     return B.first_fit_shuffled(d, "doc_id", "n", 8192, 3).select("doc_id", "pack")
 
 
+@query("select n_nationkey, n_name from nation")
+def q_stored_file(spark, folder):
+    """A file put into a store and got from it again."""
+    local = fresh_path(spark, "local").removeprefix("file://") + ".csv"
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "w", encoding="utf-8") as f:
+        f.writelines(f"{r[0]},{r[1]}\n" for r in table(spark, folder, "nation").select("n_nationkey", "n_name").collect())  # 25 rows
+    there = fresh_path(spark, "store") + ".csv"
+    StoredFile(spark, there, local).put()
+    got = StoredFile(spark, there, f"{local}.copy").get()
+    return spark.read.schema("n_nationkey int, n_name string").csv(f"file://{got}")
+
+
 def q_english_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Texts in English tokens."""
     return table(spark, folder, "documents").where("lang = 'en' and text is not null").select("doc_id", T.english_tokens("text").alias("tokens"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,22 +31,24 @@ def interleaved(frames: DataFrame, stream: str, n: int) -> DataFrame:
 def admitted(frames: DataFrame, stream: str, slots: int) -> DataFrame:
     """Frames with step: at most slots streams run at once, and a new one begins when one ends.
 
-    Streams take the slot that is free first; one row per stream is folded in one task.
+    Streams take the slot that is free first. When one begins depends on all before it, so the streams' lengths, a number
+    each, pass one task in order, which holds the slots only.
     """
-    lengths = frames.groupBy(stream).agg(F.count(F.lit(1)).alias("n"))
-    ordered = lengths.agg(F.array_sort(F.collect_list(F.struct(F.col(stream).alias("k"), "n"))).alias("x"))
-    free = F.array_repeat(F.lit(0), slots)
-    none = F.array().cast(f"array<struct<k:{frames.schema[stream].dataType.simpleString()},at:int>>")
-    start = F.struct(free.alias("free"), none.alias("out"))
-
-    def step(a, x):
-        at = F.array_min(a["free"])
-        slot = F.array_position(a["free"], at).cast("int")
-        new = F.transform(a["free"], lambda v, i: F.when(i == slot - 1, (v + x["n"]).cast("int")).otherwise(v))
-        return F.struct(new.alias("free"), F.array_append(a["out"], F.struct(x["k"].alias("k"), at.alias("at"))).alias("out"))
-
-    begun = ordered.select(F.explode(F.aggregate("x", start, step)["out"]).alias("s")).select(F.col("s.k").alias("_k"), F.col("s.at").alias("_at"))
-    return frames.join(begun, F.col(stream) == F.col("_k")).withColumn("step", F.col("_at") + F.col("frame_no")).drop("_k", "_at")
+    kind = frames.schema[stream].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free = [(0, i) for i in range(slots)]
+        for pdf in batches:
+            begun = []
+            for n in pdf["n"]:
+                at, slot = heapq.heappop(free)
+                heapq.heappush(free, (at + int(n), slot))
+                begun.append(at)
+            yield pd.DataFrame({"_k": pdf["_k"], "_at": begun})
+
+    lengths = frames.groupBy(F.col(stream).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+    begun = lengths.repartitionByRange(1, "_k").sortWithinPartitions("_k").mapInPandas(run, f"_k {kind}, _at int")
+    return frames.join(begun, F.col(stream) == F.col("_k")).withColumn("step", (F.col("_at") + F.col("frame_no")).cast("int")).drop("_k", "_at")
 
 
 def buffered(frames: DataFrame, stream: str, frame_samples: int, buffer_samples: int) -> DataFrame:

@@ -207,3 +207,43 @@ def test_scratch_tables_go_with_their_block(spark):
         assert spark.read.parquet(there).count() >= 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(there).count()
+
+
+def test_stored_files(spark, tmp_path):
+    from millrace.sources.store import StoredFile
+
+    (tmp_path / "a.txt").write_text("one")
+    f = StoredFile(spark, f"file://{tmp_path}/store/a.txt", str(tmp_path / "a.txt"))
+    assert not f.exists
+    f.put()
+    other = StoredFile(spark, f"file://{tmp_path}/store/a.txt", str(tmp_path / "copy" / "a.txt"))
+    assert f.exists and open(other.get()).read() == "one"
+    (tmp_path / "a.txt").write_text("two")
+    f.put()
+    assert open(other.get()).read() == "one" and open(other.get(again=True)).read() == "two"
+    with pytest.raises(FileNotFoundError):
+        StoredFile(spark, f"{tmp_path}/none").get()
+
+
+def test_matching_of_speakers(spark):
+    import numpy as np
+
+    from millrace.operators.scoring import assignment, best_permutation, speaker_word_errors
+
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randrange(1, 6)
+        m = n + rng.randrange(2)
+        cost = np.array([[rng.randrange(9) for _ in range(m)] for _ in range(n)], float)
+        import itertools
+
+        pick = assignment(cost)
+        assert len(set(pick)) == n and sum(cost[i, j] for i, j in enumerate(pick)) == min(sum(cost[i, j] for i, j in enumerate(p)) for p in itertools.permutations(range(cost.shape[1]), n))
+    data, want = [], {}
+    for s in range(12):
+        h, r = ([" ".join(rng.choice("abc") for _ in range(rng.randrange(6))) for _ in range(rng.randrange(4))] for _ in range(2))
+        data += [(s, "hyp", f"h{i}", t or None) for i, t in enumerate(h)] + [(s, "ref", f"r{i}", t) for i, t in enumerate(r)]
+        if h or r:
+            want[s] = (best_permutation(h, r), sum(len(t.split()) for t in r))
+    got = speaker_word_errors(spark.createDataFrame(data, "session int, side string, speaker string, text string"), "session", "side", "speaker", "text").collect()
+    assert {r["session"]: (r["errors"], r["size"]) for r in got} == want
