@@ -99,12 +99,14 @@ def test_partial_outputs(spark, tmp_path):
     assert ("a", 0, "partial", (1, 2)) in got and ("a", 0, "final", (1, 2, 3)) in got
 
 
-def test_seglst_query_writes_every_session(spark, tmp_path, monkeypatch):
+def test_seglst_query_writes_and_reads_every_session(spark, tmp_path, monkeypatch):
     from millrace.plans import sources as P
 
     rows = [(i, f"ses_{i % 40:08d}", "A", float(i), i + 0.5, "w") for i in range(100)] + [(100, None, "A", 1.0, 2.0, None), (101, "ses_00000001", "A", None, 2.0, "w")]
     spark.createDataFrame(rows, "segment_id long, session_id string, speaker string, start_time double, end_time double, words string").write.parquet(str(tmp_path / "segment.parquet"))
     monkeypatch.setattr(P, "_folder", lambda spark: str(tmp_path / "out"))
-    assert sorted(r["start"] for r in P.q_seglst(spark, str(tmp_path)).collect()) == [1.0, 41.0, 81.0]
+    got = P.q_seglst(spark, str(tmp_path)).collect()
+    assert sorted((r["session_id"] or "", r["start"], r["end"]) for r in got) == sorted((r[1] or "", r[3], r[4]) for r in rows[:101])
+    assert sorted(r["start"] for r in S.read_seglst(spark, str(tmp_path / "out"), "ses_00000001").collect()) == [1.0, 41.0, 81.0]
     back = S.read_seglst(spark, str(tmp_path / "out")).collect()
     assert sorted((r["session_id"] or "", r["start"], r["end"]) for r in back) == sorted((r[1] or "", r[3], r[4]) for r in rows[:101])
