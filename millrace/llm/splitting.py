@@ -39,7 +39,7 @@ def _named(entries: DataFrame) -> DataFrame:
     values = entries.where("speaker is not null").groupBy("speaker").agg(F.lit(1).alias("_")).select("speaker", speaker_key("speaker").alias("_k")).where("_k is not null")
     node = F.concat(F.lit("s:"), "_k")
     roots = _roots(_pairs(entries)).where("node like 's:%'")
-    return stage(values.withColumn("node", node).join(roots, "node", "left").select("speaker", F.coalesce("root", "node").alias("root")), "speakers")
+    return stage(values.withColumn("node", node).join(roots.hint("merge"), "node", "left").select("speaker", F.coalesce("root", "node").alias("root")), "speakers")
 
 
 def speaker_classes(entries: DataFrame) -> DataFrame:
