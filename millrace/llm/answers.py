@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.wordstream import one_form
+from millrace.operators.joins import hot_keys, join_skewed
 from millrace.operators.ordered import PART, PLACE, carry_last, range_sorted
+from millrace.session import stage
 
 # Common function words by language.
 FUNCTION_WORDS = {
@@ -76,6 +78,9 @@ _ANY, _SPOKEN = re.compile(r"\w+"), re.compile(r"[\w']+")
 _HAN, _CYRILLIC = re.compile(r"[㐀-鿿]"), re.compile(r"[Ѐ-ӿ]")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])")
 _LIST = re.compile(r"(?m)^\s*(?:\d+[.)]|[*•\-–])\s+\S")
+# Every text with a list, and every text that length_spikes counts, though some others too: what Java takes for a blank is no wider.
+_MAY_LIST = re.compile(r"(?:^|\s)(?:\d+[.)]|[*•\-–])\s")
+_MAY_END = re.compile(r"[.!?。！？…`][\s\"'”’»)\]*_]*$", re.A)
 _ENDED = re.compile(r"[.!?。！？।؟][\s\"'”’»)\]*_」』]*$|```\s*$")
 _SETS = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()}
 # A word that several languages share speaks for each of them in part.
@@ -248,6 +253,12 @@ def is_cut(question: str, answer: str) -> bool:
     return not is_brief(question, text)
 
 
+def ends_bare(question: str, answer: str) -> bool:
+    """A list that ends without a mark, whole or cut within its last point: only other answers can tell."""
+    text = answer.rstrip()
+    return bool(_LIST.match(text.rsplit("\n", 1)[-1])) and not _ENDED.search(text) and not is_brief(question, text)
+
+
 def defect(question: str | None, answer: str | None, lang: str | None) -> str | None:
     """The kind of the answer's defect, or None."""
     if is_empty(answer):
@@ -269,11 +280,18 @@ _KNOWN = {*FUNCTION_WORDS, *SCRIPTS, "ru", "zh"}
 
 
 def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows that have a defect, so that each answer is judged once and only those go on."""
+    """Each answer judged once: the rows that have a defect, and with their text those that bear on others.
+
+    _text is the answer where it holds a list or ends open; _bare says that other answers decide whether it is cut.
+    """
     none = lambda s: s.astype(object).where(s.notna(), None)
     for pdf in batches:
-        found = pd.Series([defect(*x) for x in zip(none(pdf["question"]), none(pdf["answer"]), none(pdf["lang"]), strict=True)], pdf.index, dtype=object)
-        yield pd.DataFrame({"_c": pdf["_c"], "_t": pdf["_t"], "defect": found})[found.notna()]
+        rows = list(zip(none(pdf["question"]), none(pdf["answer"]), none(pdf["lang"]), strict=True))
+        found = [defect(*x) for x in rows]
+        texts = [a if a and (_MAY_LIST.search(a) or not _MAY_END.search(a)) else None for _, a, _ in rows]
+        bare = [d is None and t is not None and ends_bare(q or "", t) for (q, _, _), d, t in zip(rows, found, texts, strict=True)]
+        out = pd.DataFrame({"_c": pdf["_c"], "_t": pdf["_t"], "defect": pd.Series(found, pdf.index, dtype=object), "_text": pd.Series(texts, pdf.index, dtype=object), "_bare": bare})
+        yield out[out["defect"].notna() | out["_text"].notna()]
 
 
 def role_of(role: str) -> Column:
@@ -298,21 +316,41 @@ def answered_questions(df: DataFrame, conv: str, turn: str, role: str, content:
     return met.select(F.col("_c").alias(conv), F.col("_t").alias(turn), F.col("_asked.question").alias("question"), F.col("text").alias("answer"), F.coalesce("_asked.qlang", "lang").alias("lang"))
 
 
+def _turned(text: str) -> Column:
+    """The text with line ends changed places with the two last code points; done twice, the text itself."""
+    return F.translate(text, "\n\r\U0010fffe\U0010ffff", "\U0010fffe\U0010ffff\n\r")
+
+
 def shortened_texts(answers: DataFrame, text: str, least_words: int = 5) -> DataFrame:
-    """Texts that the next text in sorted order continues within the line, and that don't end as a sentence: column text.
+    """Texts that another text continues within the line, and that don't end as a sentence: column text.
 
-    If any text begins with a text, the one next to it in the order of all distinct texts does. Distinct texts are
-    range-sorted; of each partition only the first text is handed to the one before.
+    If any text continues a text within the line, the one next to it does, in the order of all distinct texts that has
+    line ends after all other characters. Distinct texts are range-sorted; of each partition only the first text is
+    handed to the one before.
     """
-    texts = answers.select(F.col(text).alias("_x")).where("_x is not null").groupBy("_x").agg(F.lit(1).alias("_")).drop("_")
+    texts = answers.select(F.col(text).alias("_x")).where("_x is not null").groupBy("_x").agg(F.lit(1).alias("_")).select(_turned("_x").alias("_x"))
     there = range_sorted(texts, ["_x"])
     firsts = there.where(F.col(PLACE) == 0).select(PART, "_x")
     follow = firsts.select((F.lead(PART).over(Window.orderBy(F.col(PART).desc()))).alias(PART), F.col("_x").alias("_edge"))  # one row a partition
     near = there.withColumn("_next", F.lead("_x").over(Window.partitionBy(PART).orderBy(PLACE))).join(F.broadcast(follow.where(F.col(PART).isNotNull())), PART, "left")
     after = F.coalesce("_next", "_edge")
-    open_end = ~F.col("_x").rlike(r"[.!?。！？…][\s\"'”’»)\]*_]*$") & F.col("_x").rlike(rf"(?s)^\s*(?:\S+\s+){{{least_words - 1}}}\S")
-    goes_on = after.startswith(F.col("_x")) & ~F.substring(after, F.length("_x") + 1, 1).isin("\n", "\r")
-    return near.where(open_end & goes_on).select(F.col("_x").alias(text))
+    goes_on = after.startswith(F.col("_x")) & ~F.substring(after, F.length("_x") + 1, 1).isin("\U0010fffe", "\U0010ffff")
+    open_end = ~F.col(text).rlike(r"[.!?。！？…][\s\"'”’»)\]*_]*$") & F.col(text).rlike(rf"(?s)^\s*(?:\S+\s+){{{least_words - 1}}}\S")
+    return near.select(F.when(goes_on, _turned("_x")).alias(text)).where(F.col(text).isNotNull() & open_end)
+
+
+def _lengths(answers: DataFrame, text: str, *keep: str) -> DataFrame:
+    """The lengths, in either unit, of the answers that don't end as a sentence: columns keep, unit, length."""
+    open_end = answers.where(~F.col(text).rlike(r"[.!?。！？…`][\s\"'”’»)\]*_]*$"))
+    units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.length(text).alias("length")), F.struct(F.lit("words").alias("unit"), F.size(F.split(F.trim(text), r"\s+")).alias("length")))).alias("u")
+    return open_end.select(*keep, units).select(*keep, "u.*")
+
+
+def _spikes(lengths: DataFrame, factor: float) -> DataFrame:
+    counts = lengths.groupBy("unit", "length").agg(F.count(F.lit(1)).alias("n"))
+    near, every = Window.partitionBy("unit").orderBy("length").rangeBetween(-10, 10), Window.partitionBy("unit")
+    others = lambda w: F.try_divide(F.sum("n").over(w) - F.col("n"), F.count("n").over(w) - 1)
+    return counts.withColumn("_mean", F.coalesce(others(near), others(every))).where((F.col("length") >= 12) & (F.col("n") >= factor * F.col("_mean"))).select("unit", "length")
 
 
 def length_spikes(answers: DataFrame, text: str, factor: float = 8.0) -> DataFrame:
@@ -323,12 +361,23 @@ def length_spikes(answers: DataFrame, text: str, factor: float = 8.0) -> DataFra
     Both sides grow with the table, so the same texts ten times over have the same spikes, and a length whose neighbours
     are had by one answer each is a spike from eight answers on. The table counted here has a row per distinct length.
     """
-    open_end = answers.where(~F.col(text).rlike(r"[.!?。！？…`][\s\"'”’»)\]*_]*$"))
-    units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.length(text).alias("length")), F.struct(F.lit("words").alias("unit"), F.size(F.split(F.trim(text), r"\s+")).alias("length")))).alias("u")
-    counts = open_end.select(units).select("u.*").groupBy("unit", "length").agg(F.count(F.lit(1)).alias("n"))
-    near, every = Window.partitionBy("unit").orderBy("length").rangeBetween(-10, 10), Window.partitionBy("unit")
-    others = lambda w: F.try_divide(F.sum("n").over(w) - F.col("n"), F.count("n").over(w) - 1)
-    return counts.withColumn("_mean", F.coalesce(others(near), others(every))).where((F.col("length") >= 12) & (F.col("n") >= factor * F.col("_mean"))).select("unit", "length")
+    return _spikes(_lengths(answers, text), factor)
+
+
+def _told_by_others(judged: DataFrame, factor: float = 8.0) -> DataFrame:
+    """The rows in _bare that other answers show to be cut: columns _c, _t.
+
+    Cut is what a sorted neighbour continues, and what has a length at which distinct open-ended texts pile up; one text
+    given many times is no pile. Texts are met by the 128 bits of their md5. Only a text that holds a list goes on
+    from one that ends in a list, so only those are sorted.
+    """
+    said = judged.where("_text is not null").withColumn("_h", F.md5("_text"))
+    bare = said.where("_bare").select("_c", "_t", "_h")
+    listed = said.where(F.col("_text").rlike(r"(?:^|[\p{Cc}\p{Z}])(?:\p{Nd}+[.)]|[*•\-–])[\p{Cc}\p{Z}]"))
+    lengths = stage(_lengths(said, "_text", "_h").distinct(), "lengths")
+    at_limit = join_skewed(lengths, _spikes(lengths, factor), ["unit", "length"], hot_keys(lengths, ["unit", "length"]))
+    cut = shortened_texts(listed, "_text").select(F.md5("_text").alias("_h")).unionByName(at_limit.select("_h")).distinct()
+    return join_skewed(bare, cut, ["_h"], hot_keys(bare, ["_h"])).select("_c", "_t")
 
 
 def defective_answers(df: DataFrame, conv: str, turn: str, role: str, content: str, lang: str, order: list[str]) -> DataFrame:
@@ -336,13 +385,13 @@ def defective_answers(df: DataFrame, conv: str, turn: str, role: str, content: s
 
     empty: no words. copies_question: the question's words, nearly all, and nothing new. refusal: only declines.
     other_language: another language than the question's and none that the question names; code and quotations aside.
-    truncated: prose without its end, or code left open. What the question asks for (few words, a line put right, a
-    polite refusal, a language) is no defect. Null texts count as empty; an empty table gives no rows.
-
-    Whether a longer answer continues one (shortened_texts), and whether lengths pile up (length_spikes), isn't asked
-    here: an answer that was broken off ends open, and a whole one that another goes on from is no defect.
+    truncated: prose without its end, or code left open; of lists, which may end bare, those that another answer
+    continues within the line (shortened_texts) or that have a length at which distinct texts pile up (length_spikes).
+    What the question asks for (few words, a line put right, a polite refusal, a language) is no defect. Null texts
+    count as empty; an empty table gives no rows.
     """
     kinds = dict(df.dtypes)
     pairs = answered_questions(df, conv, turn, role, content, lang, order).withColumnsRenamed({conv: "_c", turn: "_t"})
-    found = pairs.mapInPandas(_judged, f"_c {kinds[conv]}, _t {kinds[turn]}, defect string")
+    judged = stage(pairs.mapInPandas(_judged, f"_c {kinds[conv]}, _t {kinds[turn]}, defect string, _text string, _bare boolean"), "judged")
+    found = judged.where("defect is not null").select("_c", "_t", "defect").unionByName(_told_by_others(judged).withColumn("defect", F.lit("truncated")))
     return found.select(F.col("_c").alias(conv), F.col("_t").alias(turn), "defect")

@@ -111,3 +111,32 @@ def test_common_words_in_order():
     for _ in range(300):
         a, b = ([rng.choice("abcd") for _ in range(rng.randrange(0, 90))] for _ in range(2))
         assert _common(_places(a), len(a), b) == brute(a, b)
+
+
+LIST = "1. Open the case of the recorder\n2. Look at the"
+
+
+def _truncated(spark, said: list[tuple[str, str]], parts: int = 5) -> list[int]:
+    """The conversations whose answer comes out as truncated, of one question and answer each."""
+    rows = [(2 * i + k, i, k, role, text, "en", i, "x") for i, qa in enumerate(said) for k, (role, text) in enumerate(zip(("user", "assistant"), qa, strict=True))]
+    got = defective_answers(spark.createDataFrame(rows, SCHEMA).repartition(parts), "conv_id", "turn", "role", "content", "lang", ["at", "message_id"]).collect()
+    assert {r["defect"] for r in got} <= {"truncated"}
+    return sorted(r["conv_id"] for r in got)
+
+
+def test_cut_lists_are_told_by_their_sorted_neighbours(spark):
+    whole = ["1. Open the case of the recorder\n2. Look at the old tape", f"{LIST}\n3. Close it", f"{LIST}\r\n3. Close it", "* Look at the key\n* Look at the lamp", "* Look at the key\n* Look at the lamp\n* Look at the door"]
+    assert _truncated(spark, [(Q, t) for t in whole]) == []
+    assert _truncated(spark, [(Q, t) for t in whole + [LIST]]) == [5]
+    assert _truncated(spark, [(Q, t) for t in whole + [LIST] * 300]) == list(range(5, 305))
+    brief = "Which point is it? Only the number, please."
+    assert _truncated(spark, [(brief, "1. the old tape recorder"), (Q, "1. the old tape recorder is in the case")]) == []
+
+
+def test_cut_lists_are_told_by_a_length_at_which_texts_pile_up(spark):
+    rng = random.Random(3)
+    lists = ["1. The recorder is open\n2. " + "".join(rng.choice("abcdefgh ") for _ in range(300)).replace(" ", "x y") for _ in range(72)]
+    spread, piled = [t[: 60 + i] for i, t in enumerate(lists[:60])], [t[:90] for t in lists[60:]]
+    assert _truncated(spark, [(Q, t) for t in spread]) == []
+    assert _truncated(spark, [(Q, t) for t in spread + piled]) == [30, *range(60, 72)]
+    assert _truncated(spark, [(Q, t) for t in spread + [piled[0]] * 12]) == []
