@@ -122,7 +122,8 @@ def ranking_metrics(df: DataFrame, truth: str, score: str) -> DataFrame:
     counts = rows.groupBy("s").agg(F.sum("t").alias("p"), F.sum(1 - F.col("t")).alias("n"))
     upto = running_sum(running_sum(counts, [], ["s"], "p", "cp"), [], ["s"], "n", "cn")
     tot = counts.agg(F.coalesce(F.sum("p"), F.lit(0)).alias("tp"), F.coalesce(F.sum("n"), F.lit(0)).alias("tn")).first()
-    x = upto.withColumns({"tp": F.lit(tot["tp"]), "tn": F.lit(tot["tn"])})
+    # In doubles, as the products of counts go beyond whole numbers; the counts themselves are exact to 2 ** 53.
+    x = upto.select(*[F.col(c).cast("double").alias(c) for c in ("p", "n", "cp", "cn")], F.lit(float(tot["tp"])).alias("tp"), F.lit(float(tot["tn"])).alias("tn"))
     above_p, above_n = F.col("tp") - F.col("cp") + F.col("p"), F.col("tn") - F.col("cn") + F.col("n")
     roc = F.sum(F.col("p") * (F.col("cn") - F.col("n") / 2)) / F.max(F.nullif(F.col("tp") * F.col("tn"), F.lit(0)))
     pr = F.sum(F.when(F.col("p") > 0, F.col("p") * above_p / (above_p + above_n)).otherwise(0.0)) / F.max(F.nullif(F.col("tp"), F.lit(0)))

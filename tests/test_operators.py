@@ -352,6 +352,21 @@ def test_ranking_metrics_edges(spark):
     assert df.agg(A.rate(F.lit(1), F.lit(0))).first()[0] == math.inf
 
 
+def test_ranking_metrics_of_many_rows(spark):
+    """The product of both classes' counts goes beyond 32 bits."""
+    n = 100_000
+    df = spark.range(n).select((F.col("id") % 2).alias("y"), (F.col("id") % 2 + F.col("id") % 3).cast("double").alias("s"))
+    counts = Counter((i % 2, i % 2 + i % 3) for i in range(n))
+    scores = range(4)
+    tp, tn = n // 2, n // 2
+    roc = sum(counts[1, a] * counts[0, b] * (1.0 if a > b else 0.5) for a in scores for b in scores if a >= b) / (tp * tn)
+    at = lambda y, keep: sum(counts[y, s] for s in scores if keep(s))
+    pr = sum(counts[1, a] * at(1, lambda s: s >= a) / (at(1, lambda s: s >= a) + at(0, lambda s: s >= a)) for a in scores if counts[1, a]) / tp
+    nt = sum(counts[0, a] * at(0, lambda s: s <= a) / (at(0, lambda s: s <= a) + at(1, lambda s: s <= a)) for a in scores if counts[0, a]) / tn
+    assert tuple(A.ranking_metrics(df, "y", "s").first()) == pytest.approx((roc, pr, nt))
+    assert tuple(A.ranking_metrics(df.withColumn("s", F.lit(0.3)), "y", "s").first()) == (0.5, 0.5, 0.5)
+
+
 def test_confidence_is_between_zero_and_one(spark):
     for m in ("max_prob", *(f"entropy_{k}_{s}" for k in ("gibbs", "tsallis", "renyi") for s in ("lin", "exp"))):
         for t in (1.0, 0.33):
